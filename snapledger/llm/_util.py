@@ -71,4 +71,4 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def size_in_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a plan's size: for a file scan, the size of its files. Runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -5,26 +5,57 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam
-from ._util import table
+from . import bpe, decontam, licenses, quality, tokenfiles
+from ._util import fresh_path, table
 
 RANKS, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
+WORDS = "word_bpe_49k.json"
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS))
+    return tokenfiles.checksums(tokenfiles.read_tokens(spark, path))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), PATTERN)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.digest(decontam.contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op6_byte_bpe, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination)}
 
 _NORMAL_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL = {
+    "op5_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) >= 5),
+twice AS (SELECT doc_id, g FROM win GROUP BY doc_id, g HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT win.doc_id, unnest(range(i, i + 5)) AS p FROM win JOIN twice ON win.doc_id = twice.doc_id AND win.g = twice.g) GROUP BY doc_id),
+s AS (
+  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, length(t) - length(translate(t, '!', '')) AS n_shouts, len(lines) AS n_lines
+  FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (100 * n_symbols > 25 * n_words OR 100 * n_shouts > 50 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
+FROM b""",
     "op9_decontamination": f"""
 WITH d AS (SELECT doc_id, {_NORMAL_WORDS.format('text')} AS w FROM documents),
 b AS (SELECT item_id, {_NORMAL_WORDS.format('text')} AS w FROM benchmark),
