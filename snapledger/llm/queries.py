@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, licenses, quality, tokenfiles
+from . import bpe, decontam, licenses, pii, quality, tokenfiles, urlgraph
 from ._util import fresh_path, table
 
 RANKS, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
 WORDS = "word_bpe_49k.json"
 
 
+#: Not a secret: a corpus of one's own wants a key of one's own.
+KEY = "public example key"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS))
@@ -35,11 +43,47 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination)}
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination, op10_pii_surrogates)}
 
 _NORMAL_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _op1_sql(rounds: int = 5) -> str:
+    az = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    fits = " UNION ALL ".join(f"SELECT '{r.rule}' AS rule, '{r.host}' AS rhost, '{r.path}' AS rpath, {str(r.allow).lower()} AS allow" for r in urlgraph.RULES)
+    out = f"""
+WITH p AS (SELECT page_id, row_number() OVER () AS k, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {az}), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
+rules AS ({fits}),
+hits AS (SELECT k, rule, allow, row_number() OVER (PARTITION BY k ORDER BY length(rule) DESC) AS n FROM p JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath)),
+ruled AS (SELECT p.*, rule, allow FROM p LEFT JOIN hits ON p.k = hits.k AND n = 1),
+links AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, {_quoted(urlgraph.LINK)}, 1)), {az}) AS dst FROM p),
+up AS (SELECT src, substr(src, strpos(src, '.') + 1) AS dst FROM (SELECT host AS src FROM p UNION SELECT dst FROM links) WHERE len(string_split(src, '.')) >= 4),
+fwd AS (SELECT src, dst, count(*) AS weight FROM (SELECT src, dst FROM links UNION ALL SELECT src, dst FROM up UNION ALL SELECT dst, src FROM up) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst),
+rev AS (SELECT dst AS src, src AS dst, weight FROM fwd)"""
+    for side, edges, which in (("t", "fwd", "allow"), ("d", "rev", "NOT allow")):
+        out += f""",
+{side}n AS (SELECT host, count(*) AS n FROM ruled WHERE {which} AND host <> '' GROUP BY host),
+{side}seed AS (SELECT host, CAST(CAST({urlgraph.MASS} AS HUGEINT) * n // (SELECT sum(n) FROM {side}n) AS BIGINT) AS seed FROM {side}n),
+{side}share AS (SELECT src, dst, weight, sum(weight) OVER (PARTITION BY src) AS total FROM {edges}),
+{side}0 AS (SELECT host, seed AS rank FROM {side}seed)"""
+        for i in range(rounds):
+            out += f""",
+{side}{i + 1} AS (SELECT host, sum(part) // 100 AS rank FROM (SELECT dst AS host, (rank // total) * weight * 85 AS part FROM {side}{i} JOIN {side}share ON host = src UNION ALL SELECT host, seed * 15 FROM {side}seed) GROUP BY host)"""
+    return out + f"""
+SELECT page_id, ruled.host, path, rule, CASE WHEN coalesce(allow, coalesce(d{rounds}.rank, 0) <= coalesce(t{rounds}.rank, 0)) THEN 'allow' ELSE 'block' END AS verdict,
+  CAST(coalesce(t{rounds}.rank, 0) AS BIGINT) AS trust, CAST(coalesce(d{rounds}.rank, 0) AS BIGINT) AS distrust
+FROM ruled LEFT JOIN t{rounds} ON ruled.host = t{rounds}.host LEFT JOIN d{rounds} ON ruled.host = d{rounds}.host"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 SQL = {
+    "op1_url_filter": _op1_sql(),
     "op5_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -52,7 +53,8 @@ class WordEncoder:
         for word in new:
             text = word.decode()
             core = text.strip(_EDGE)
-            if core.isalpha():
+            # letters that stay letters when normalised: then the core is one pre-token, apart from what stands beside it
+            if core.isascii() and core.isalpha() or core.isalpha() and unicodedata.normalize("NFC", core).lower().isalpha():
                 k = text.index(core)
                 parts[word] = (text[:k], core.lower() if core.isascii() else core, text[k + len(core) :])
             else:
