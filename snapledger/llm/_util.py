@@ -70,5 +70,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of a plan's size: for a file scan, the size of its files. Runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of a plan's size: for a file scan, that of its files. Runs no job.
+
+    Where Spark can't tell (rows that come from an RDD), 32 MB for each partition.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else df.rdd.getNumPartitions() << 25

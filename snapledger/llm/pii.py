@@ -33,6 +33,8 @@ SYLLABLES = {
 SURNAME_ENDS = {("f", "latin"): "man", ("m", "latin"): "man", ("f", "cyrillic"): "ова", ("m", "cyrillic"): "ов", ("f", "greek"): "ίδου", ("m", "greek"): "ίδης"}
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"]
 
+HEX = ["0123456789", "abcdef", "ABCDEF"]
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Each alternative starts where a word starts, and loops are over single character classes, so a search is linear.
 PATTERNS = {
@@ -57,13 +59,13 @@ def _pick(words: list[str], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, words)), (number % len(words) + 1).cast("int"))
 
 
-def _reshaped(text: Column, seed: Column) -> Column:
+def _reshaped(text: Column, seed: Column, alphabets: list[str] = ALPHABETS) -> Column:
     """Each digit and letter replaced by one of its own class, case and script; all else stays."""
 
     def one(i: Column) -> Column:
         char, number = F.substring(text, i, F.lit(1)), _hex(seed, i)
         out = char
-        for alphabet in ALPHABETS:
+        for alphabet in alphabets:
             out = F.when(F.instr(F.lit(alphabet), char) > 0, F.substring(F.lit(alphabet), (number % len(alphabet) + 1).cast("int"), F.lit(1))).otherwise(out)
         return out
 
@@ -129,10 +131,12 @@ def _person(value: Column, seed: Column) -> Column:
 def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     """The surrogate of an entity for the attempt-th draw (0 at first); the value itself if ``kind`` is null."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value), 256)
-    return (
+    secret = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _reshaped(value, seed, HEX)).otherwise(_reshaped(value, seed))
+    new = (
         F.when(kind == "email", _email(value, seed)).when(kind == "card", _card(value, seed)).when(kind == "ip", _ip(seed))
-        .when(kind == "phone", _phone(value, seed)).when(kind == "person", _person(value, seed)).when(kind == "secret", _reshaped(value, seed)).otherwise(value)
+        .when(kind == "phone", _phone(value, seed)).when(kind == "person", _person(value, seed)).when(kind == "secret", secret).otherwise(value)
     )
+    return F.when(kind.isNotNull() & (attempt >= ROUNDS), F.concat(new, F.lit("-"), F.substring(seed, 1, 16))).otherwise(new)
 
 
 def _found(text: Column) -> Column:
@@ -150,13 +154,11 @@ def draws(known: DataFrame, key: str) -> DataFrame:
 
     Where entities collide, the one that drew first keeps the surrogate (equal ones: the first in order of
     text); the others draw again, and so do those whose surrogate is a real value. Groups are as small as
-    collisions are rare. Whoever still collides after the last round is told apart by part of a digest.
+    collisions are rare. In the last round part of a digest is added, which tells apart whoever still collides.
     """
     now = known.withColumn("attempt", F.lit(0))
     for i in range(ROUNDS + 1):
-        final = F.when(F.col("attempt") < ROUNDS, surrogate(F.col("kind"), F.col("value"), key, F.col("attempt")))
-        marked = F.concat(F.col("value").substr(1, 0), F.sha2(F.concat_ws("|", F.lit(key), "kind", "value"), 256))
-        now = stored(now.withColumn("surrogate", F.coalesce(final, marked)), "draws")
+        now = stored(now.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, F.col("attempt"))), "draws")
         ranked = now.groupBy("surrogate").agg(F.min(F.struct("attempt", "value")).alias("owner"), F.count("*").alias("n"))
         taken = ranked.where("n > 1").select("surrogate", F.col("owner.value").alias("owner"))
         real = known.select(F.col("value").alias("surrogate")).distinct().withColumn("real", F.lit(True))

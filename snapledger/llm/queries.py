@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, licenses, pii, quality, tokenfiles, urlgraph
+from . import bpe, decontam, licenses, pii, quality, radix, substrings, tokenfiles, urlgraph
 from ._util import fresh_path, table
 
 RANKS, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
@@ -20,6 +20,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.judge(table(spark, sf_dir, "pages"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS))
@@ -47,7 +55,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination, op10_pii_surrogates)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_suffix_array_dedup, op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination, op10_pii_surrogates)}
 
 _NORMAL_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -84,6 +92,16 @@ def _quoted(text: str) -> str:
 
 SQL = {
     "op1_url_filter": _op1_sql(),
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) AS g FROM d WHERE len(w) >= 35),
+twice AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN twice ON win.g = twice.g),
+per AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN per ON d.doc_id = per.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
     "op5_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,

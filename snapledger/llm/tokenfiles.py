@@ -40,15 +40,15 @@ class WordEncoder:
     def encode(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         words, known = text.split(), self.words
-        if new := set(words) - known.keys():
+        if new := [w for w in set(words) if w not in known]:
             if len(known) > KEPT_WORDS:
                 known.clear()
                 self.cores.clear()
-                new = set(words)
+                new = list(set(words))
             self._learn(new)
         return b"".join([known[w] for w in words])
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         parts, cores, rest = {}, self.cores, []
         for word in new:
             text = word.decode()
@@ -59,7 +59,7 @@ class WordEncoder:
                 parts[word] = (text[:k], core.lower() if core.isascii() else core, text[k + len(core) :])
             else:
                 rest.append(word)
-        missing = {y for x in parts.values() for y in x if y} - cores.keys()
+        missing = {y for x in parts.values() for y in x if y and y not in cores}
         plain = [x for x in missing if x.isascii() and x.isalpha()]
         tokenize = self.tokenizer.model.tokenize
         for x in plain:
