@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, licenses, pii, quality, radix, substrings, tokenfiles, urlgraph
+from . import bpe, decontam, jaccard, licenses, pii, quality, radix, substrings, tokenfiles, urlgraph
 from ._util import fresh_path, table
 
 RANKS, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
@@ -42,6 +42,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), PATTERN)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -55,7 +59,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_suffix_array_dedup, op4_token_files, op5_quality_rules, op6_byte_bpe, op8_license_scan, op9_decontamination, op10_pii_surrogates)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_suffix_array_dedup, op4_token_files, op5_quality_rules, op6_byte_bpe, op7_jaccard_join, op8_license_scan, op9_decontamination, op10_pii_surrogates)}
 
 _NORMAL_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -118,6 +122,16 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (100 * n_symbols > 25 * n_words OR 100 * n_shouts > 50 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM b""",
+    "op7_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS g FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM common JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id WHERE 100 * k >= 85 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, y FROM reach JOIN both_ways ON r = x)
+SELECT d.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM d JOIN reach ON d.doc_id = reach.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id""",
     "op9_decontamination": f"""
 WITH d AS (SELECT doc_id, {_NORMAL_WORDS.format('text')} AS w FROM documents),
 b AS (SELECT item_id, {_NORMAL_WORDS.format('text')} AS w FROM benchmark),
