@@ -149,7 +149,7 @@ def prefix_split(df: DataFrame, column: str, prefixes: dict[str, str]) -> DataFr
 
 def triage(rejected: DataFrame, reason: str, fields: Sequence[str]) -> DataFrame:
     """How many reasons name each field: few fields, so each row is tested against the list in place and counted at once."""
-    hits = F.filter(F.array(*map(F.lit, fields)), lambda f: F.col(reason).like(F.concat(F.lit("%"), f, F.lit("%"))))
+    hits = F.filter(F.array(*map(F.lit, fields)), lambda f: F.like(F.col(reason), F.concat(F.lit("%"), f, F.lit("%"))))
     return rejected.select(F.explode(hits).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
 
 
