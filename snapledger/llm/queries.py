@@ -105,6 +105,18 @@ per AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id),
 words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
 kept AS (SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN per ON d.doc_id = per.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op3_suffix_array_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (SELECT doc_id, i, md5(piece) AS g FROM (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS piece FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 99)) AS i FROM d WHERE length(x) >= 200))),
+seen AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM win),
+marks AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS new FROM seen WHERE n > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marks) GROUP BY doc_id, run),
+edges AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM runs UNION ALL SELECT doc_id, 0, min(a) FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, CASE WHEN b IS NULL THEN length(x) ELSE 2 * (b - a) END), '' ORDER BY a) AS t FROM edges JOIN d USING (doc_id) GROUP BY doc_id),
+per AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN removed IS NULL THEN x ELSE coalesce(t, '') END)) AS kept_sha256
 FROM d LEFT JOIN per ON d.doc_id = per.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
     "op5_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
