@@ -7,6 +7,8 @@ and who loses one draws again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,35 +49,50 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 ROUNDS = 12
+MARK = "\ufdd0"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
+def _blocks(seed: Column, text: Column) -> Column:
+    """A seed's row of numbers below 65536, long enough for a text: sha256 digests, four hexadecimal digits a number."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / 16).cast("int")), lambda b: F.sha2(F.concat_ws(":", seed, b.cast("string")), 256))
 
-def _hex(seed: Column, i: Column) -> Column:
-    """The i-th of a seed's endless row of numbers below 65536: four hexadecimal digits of a sha256."""
-    block = F.sha2(F.concat_ws(":", seed, F.floor(i / 16).cast("string")), 256)
-    return F.conv(F.substring(block, (i % 16 * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
+
+def _number(blocks: Column, i: Column) -> Column:
+    return F.conv(F.substring(F.get(blocks, F.floor(i / 16).cast("int")), (i % 16 * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
 
 
 def _pick(words: list[str], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, words)), (number % len(words) + 1).cast("int"))
 
 
-def _reshaped(text: Column, seed: Column, alphabets: list[str] = ALPHABETS) -> Column:
+def _reshaped(text: Column, blocks: Column, alphabets: list[str] = ALPHABETS) -> Column:
     """Each digit and letter replaced by one of its own class, case and script; all else stays."""
+    every = F.lit("".join(alphabets))
+
+    def one(char: Column, number: Column) -> Column:
+        def swap(at: Column) -> Column:
+            out, end = char, sum(map(len, alphabets))
+            for alphabet in reversed(alphabets):
+                first = end - len(alphabet)
+                out = F.when((at > first) & (at <= end), F.substring(every, first + 1 + number % len(alphabet), F.lit(1))).otherwise(out)
+                end = first
+            return out
 
-    def one(i: Column) -> Column:
-        char, number = F.substring(text, i, F.lit(1)), _hex(seed, i)
-        out = char
-        for alphabet in alphabets:
-            out = F.when(F.instr(F.lit(alphabet), char) > 0, F.substring(F.lit(alphabet), (number % len(alphabet) + 1).cast("int"), F.lit(1))).otherwise(out)
-        return out
+        return _let(F.instr(every, char), swap)
 
-    return F.when(F.length(text) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), one), "")).otherwise("")
+    chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: one(F.substring(text, i, F.lit(1)), _number(blocks, i)))
+    return F.when(F.length(text) > 0, F.array_join(chars, "")).otherwise("")
 
 
 def _luhn(digits: Column) -> Column:
     """The Luhn sum of a string of digits, the last one not doubled."""
     at = F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1)))
-    each = F.transform(at, lambda i: F.try_element_at(F.split(digits, ""), i).cast("int") * F.when((F.length(digits) - i) % 2 == 1, 2).otherwise(1))
+    each = F.transform(at, lambda i: F.substring(digits, i, F.lit(1)).try_cast("int") * F.when((F.length(digits) - i) % 2 == 1, 2).otherwise(1))
     return F.aggregate(each, F.lit(0), lambda total, x: total + F.coalesce(x, F.lit(0)) - F.when(x > 9, 9).otherwise(0))
 
 
@@ -88,41 +105,41 @@ def kind_of(value: Column) -> Column:
     is_card = value.rlike(r"^[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}$")
     titles = r"^(?:" + "|".join(t for of in TITLES.values() for t in of) + r")\.? \p{Lu}"
     return (
-        F.when(F.instr(value, "@") > 0, "email").when(is_card, F.when(_luhn(_digits(value)) % 10 == 0, "card"))
+        F.when(F.instr(value, "@") > 0, "email").when(is_card, F.when(_let(_digits(value), _luhn) % 10 == 0, "card"))
         .when(value.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip").when(value.rlike(r"^[+(]"), "phone").when(value.rlike(titles), "person").otherwise("secret")
     )
 
 
-def _card(value: Column, seed: Column) -> Column:
+def _card(value: Column, blocks: Column) -> Column:
     """The first digit and the separators stay; the last digit makes it valid."""
-    body = F.concat(F.substring(value, 1, 1), _reshaped(F.substring(value, F.lit(2), F.length(value) - 2), seed))
-    rest = _luhn(F.concat(_digits(body), F.lit("0"))) % 10
-    return F.concat(body, ((10 - rest) % 10).cast("string"))
+    body = F.concat(F.substring(value, 1, 1), _reshaped(F.substring(value, F.lit(2), F.length(value) - 2), blocks))
+    last = lambda digits: ((10 - _luhn(digits) % 10) % 10).cast("string")
+    return _let(body, lambda b: F.concat(b, _let(F.concat(_digits(b), F.lit("0")), last)))
 
 
-def _phone(value: Column, seed: Column) -> Column:
+def _phone(value: Column, blocks: Column) -> Column:
     country = F.regexp_extract(value, r"^(\+[0-9]{1,3}[ .-]?)?", 0)
-    return F.concat(country, _reshaped(F.substring(value, F.length(country) + 1, F.length(value)), seed))
+    return _let(country, lambda c: F.concat(c, _reshaped(F.substring(value, F.length(c) + 1, F.length(value)), blocks)))
 
 
-def _email(value: Column, seed: Column) -> Column:
+def _email(value: Column, blocks: Column) -> Column:
     top = F.regexp_extract(value, r"\.[A-Za-z]{2,}$", 0)
-    return F.concat(_reshaped(F.substring(value, F.lit(1), F.length(value) - F.length(top)), seed), top)
+    return _let(top, lambda t: F.concat(_reshaped(F.substring(value, F.lit(1), F.length(value) - F.length(t)), blocks), t))
 
 
-def _ip(seed: Column) -> Column:
-    return F.concat_ws(".", (_hex(seed, F.lit(0)) % 223 + 1).cast("string"), *((_hex(seed, F.lit(i)) % 256).cast("string") for i in (1, 2, 3)))
+def _ip(blocks: Column) -> Column:
+    return F.concat_ws(".", (_number(blocks, F.lit(0)) % 223 + 1).cast("string"), *((_number(blocks, F.lit(i)) % 256).cast("string") for i in (1, 2, 3)))
 
 
-def _person(value: Column, seed: Column) -> Column:
+def _person(value: Column, blocks: Column) -> Column:
     """The title stays, and with it the gender; names of the same script, and as many of them."""
     title = F.regexp_extract(value, r"^\S+ ", 0)
     woman = F.regexp_replace(F.trim(title), r"\.$", "").isin(TITLES["f"])
     script = F.when(value.rlike(r" \p{IsCyrillic}"), "cyrillic").when(value.rlike(r" \p{IsGreek}"), "greek").otherwise("latin")
     out = F.lit("")
     for sex, of in GIVEN:
-        last = F.concat(F.initcap(F.concat(*(_pick(SYLLABLES[of], _hex(seed, F.lit(i))) for i in (1, 2, 3)))), F.lit(SURNAME_ENDS[sex, of]))
-        given = _pick(GIVEN[sex, of], _hex(seed, F.lit(0)))
+        last = F.concat(F.initcap(F.concat(*(_pick(SYLLABLES[of], _number(blocks, F.lit(i))) for i in (1, 2, 3)))), F.lit(SURNAME_ENDS[sex, of]))
+        given = _pick(GIVEN[sex, of], _number(blocks, F.lit(0)))
         names = F.when(value.rlike(r"^\S+ \S+ \S+$"), F.concat_ws(" ", given, last)).otherwise(last)
         out = F.when((woman == F.lit(sex == "f")) & (script == of), names).otherwise(out)
     return F.concat(title, out)
@@ -130,17 +147,44 @@ def _person(value: Column, seed: Column) -> Column:
 
 def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     """The surrogate of an entity for the attempt-th draw (0 at first); the value itself if ``kind`` is null."""
-    seed = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value), 256)
-    secret = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _reshaped(value, seed, HEX)).otherwise(_reshaped(value, seed))
-    new = (
-        F.when(kind == "email", _email(value, seed)).when(kind == "card", _card(value, seed)).when(kind == "ip", _ip(seed))
-        .when(kind == "phone", _phone(value, seed)).when(kind == "person", _person(value, seed)).when(kind == "secret", secret).otherwise(value)
-    )
-    return F.when(kind.isNotNull() & (attempt >= ROUNDS), F.concat(new, F.lit("-"), F.substring(seed, 1, 16))).otherwise(new)
+
+    def drawn(seed: Column) -> Column:
+        def new(blocks: Column) -> Column:
+            secret = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _reshaped(value, blocks, HEX)).otherwise(_reshaped(value, blocks))
+            return (
+                F.when(kind == "email", _email(value, blocks)).when(kind == "card", _card(value, blocks)).when(kind == "ip", _ip(blocks))
+                .when(kind == "phone", _phone(value, blocks)).when(kind == "person", _person(value, blocks)).otherwise(secret)
+            )
+
+        out = _let(_blocks(seed, value), new)
+        return F.when(attempt >= ROUNDS, F.concat(out, F.lit("-"), F.substring(seed, 1, 16))).otherwise(out)
+
+    return F.when(kind.isNull(), value).otherwise(_let(F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value), 256), drawn))
+
+
+def _worth_a_look(text: Column) -> Column:
+    """Whether a text can hold an entity at all: each kind needs a digit, an at sign, a quote or a title."""
+    out = text.rlike('[0-9@"]')
+    for of in TITLES.values():
+        for title in of:
+            out = out | F.contains(text, F.lit(title))
+    return F.coalesce(out, F.lit(False))
 
 
 def _found(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ANY), 0)
+    """All matches of a text, from one search; none for null."""
+    return F.when(_worth_a_look(text), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
+
+
+def _parts(text: Column) -> Column:
+    """A text cut into what stands before, in and after its matches, by turns, from one search that marks them.
+
+    A text that has the mark itself, a code point that is never a character, is searched twice instead.
+    """
+    marked = F.split(F.regexp_replace(text, f"({ANY})", f"{MARK}$1{MARK}"), MARK, -1)
+    pairs = F.zip_with(F.split(text, ANY, -1), F.concat(F.regexp_extract_all(text, F.lit(ANY), 0), F.array(F.lit(""))), lambda a, b: F.array(a, b))
+    slow = F.flatten(pairs)
+    return F.when(_worth_a_look(text), F.when(F.contains(text, F.lit(MARK)), F.slice(slow, F.lit(1), F.size(slow) - 1)).otherwise(marked))
 
 
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -185,25 +229,25 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
 def _apply(docs: DataFrame, key: str, again: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = [c for c in docs.columns if c not in ("n_entities", "kinds")]
     text = F.col("r").getField(text_col)
-    rows = docs.select(F.struct(*names).alias("r")).withColumn("values", F.coalesce(_found(text), F.array().cast("array<string>")))
+    rows = docs.select(F.struct(*names).alias("r")).withColumn("parts", _parts(text))
     if again.isEmpty():
-        rows = rows.withColumn("found", F.transform("values", lambda v: _drawn(v, key, F.lit(0))))
+        attempt = lambda v: F.lit(0)
     else:
         rows = rows.withColumns({"k": F.col("r").getField(id_col), "h": F.xxhash64(text)})
-        hits = rows.select("k", "h", F.explode(F.array_distinct("values")).alias("value")).distinct().join(again.select("value", "attempt"), "value")
+        values = F.filter("parts", lambda _, i: i % 2 == 1)
+        hits = rows.select("k", "h", F.explode(F.array_distinct(values)).alias("value")).distinct().join(again.select("value", "attempt"), "value")
         redrawn = hits.groupBy("k", "h").agg(F.map_from_entries(F.collect_list(F.struct("value", "attempt"))).alias("attempts")).select(F.col("k").alias("k2"), F.col("h").alias("h2"), "attempts")
         rows = rows.join(redrawn, F.col("k").eqNullSafe(F.col("k2")) & (F.col("h") == F.col("h2")), "left")
-        rows = rows.withColumn("found", F.transform("values", lambda v: _drawn(v, key, F.coalesce(F.try_element_at("attempts", v), F.lit(0)))))
-    between = F.split(text, ANY, -1)
-    swapped = F.array_join(F.flatten(F.zip_with(between, F.concat(F.col("found.new"), F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
-    changed = F.filter("found", lambda x: x["kind"].isNotNull())
-    new = F.when(F.size(changed) > 0, swapped).otherwise(text)
+        attempt = lambda v: F.coalesce(F.try_element_at("attempts", v), F.lit(0))
+    rows = rows.withColumn("found", F.transform("parts", lambda v, i: F.when(i % 2 == 1, _drawn(v, key, attempt(v)))))
+    kinds = F.filter(F.coalesce("found.kind", F.array().cast("array<string>")), lambda x: x.isNotNull())
+    rows = rows.withColumn("some", kinds)
+    new = F.when(F.size("some") > 0, F.array_join(F.zip_with("parts", "found", lambda old, x: F.coalesce(x["new"], old)), "")).otherwise(text)
     return rows.select(
         *(new.alias(c) if c == text_col else F.col("r").getField(c).alias(c) for c in names),
-        F.size(changed).cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform(changed, lambda x: x["kind"]))), ",").alias("kinds"),
+        F.size("some").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct("some")), ",").alias("kinds"),
     )
 
 
 def _drawn(value: Column, key: str, attempt: Column) -> Column:
-    kind = kind_of(value)
-    return F.struct(kind.alias("kind"), surrogate(kind, value, key, attempt).alias("new"))
+    return _let(kind_of(value), lambda kind: F.struct(kind.alias("kind"), surrogate(kind, value, key, attempt).alias("new")))
