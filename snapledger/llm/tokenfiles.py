@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 
 from ._util import cells, size_in_bytes
 
-#: Words whose ids a Python worker keeps; the table is emptied when full, which bounds its memory.
-KEPT_WORDS = 400_000
+#: Words in each of the two generations that a Python worker keeps, which bounds its memory: when the
+#: newer one is full, the older one goes.
+KEPT_WORDS = 250_000
+#: Up to so many files their totals, 16 bytes each, are broadcast.
+MOST_FILES = 1_000_000
+#: Rows that are encoded at once.
+ROWS = 500
 _EDGE = ".,;:!?#*$%&|<>()\""
 
 
@@ -35,6 +40,7 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab()
         self.ends = frozenset(i for token, i in vocab.items() if token.endswith("</w>"))
         self.words: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
@@ -42,30 +48,29 @@ class WordEncoder:
         words, known = text.split(), self.words
         if new := [w for w in set(words) if w not in known]:
             if len(known) > KEPT_WORDS:
-                known.clear()
-                self.cores.clear()
-                new = list(set(words))
-            self._learn(new)
+                self.before, self.words, self.cores = known, {}, {}
+                known, new = self.words, list(set(words))
+            old = self.before
+            known.update((w, old[w]) for w in new if w in old)
+            self._learn([w for w in new if w not in known])
         return b"".join([known[w] for w in words])
 
     def _learn(self, new: list[bytes]) -> None:
-        parts, cores, rest = {}, self.cores, []
+        parts, cores, rest = [], self.cores, []
         for word in new:
             text = word.decode()
             core = text.strip(_EDGE)
-            # letters that stay letters when normalised: then the core is one pre-token, apart from what stands beside it
-            if core.isascii() and core.isalpha() or core.isalpha() and unicodedata.normalize("NFC", core).lower().isalpha():
+            if core.isalpha() and (low := _plain(core)):
                 k = text.index(core)
-                parts[word] = (text[:k], core.lower() if core.isascii() else core, text[k + len(core) :])
+                parts.append((word, text[:k], low, text[k + len(core) :]))
             else:
                 rest.append(word)
-        missing = {y for x in parts.values() for y in x if y and y not in cores}
-        plain = [x for x in missing if x.isascii() and x.isalpha()]
         tokenize = self.tokenizer.model.tokenize
-        for x in plain:
-            cores[x] = _packed([t.id for t in tokenize(x)])
-        self._many([x for x in missing if not (x.isascii() and x.isalpha())])
-        for word, (a, b, c) in parts.items():
+        for _, _, core, _ in parts:
+            if core not in cores:
+                cores[core] = _packed([t.id for t in tokenize(core)])
+        self._many([x for x in {y for p in parts for y in (p[1], p[3])} if x and x not in cores])
+        for word, a, b, c in parts:
             self.words[word] = (cores[a] if a else b"") + cores[b] + (cores[c] if c else b"")
         for word in rest:
             self.words[word] = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
@@ -84,6 +89,24 @@ class WordEncoder:
                     self.cores[core] = _packed(self.tokenizer.encode(core, add_special_tokens=False).ids)
 
 
+#: How byte-level pre-tokenisation writes bytes: printable ones as they are in Latin-1, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
+
+def _plain(core: str) -> str | None:
+    """A word of Latin letters as the model sees it: composed, lower case, in the byte alphabet; None for other words.
+
+    Only letters whose lower case is one letter, so that the word stays one pre-token.
+    """
+    if core.isascii():
+        return core.lower()
+    low = core.lower()
+    if max(core) > "\u017f" or len(low) != len(core) or not unicodedata.is_normalized("NFC", core):
+        return None
+    return low.encode().decode("latin-1").translate(_WRITTEN)
+
+
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
@@ -95,7 +118,7 @@ def encoder(file: str) -> WordEncoder:
 
 def write_token_files(
     df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-    encoding: str = "dictionary", row_group_bytes: int = 16 << 20, page_rows: int = 2000, bytes_per_file: int = 32 << 20,
+    encoding: str = "dictionary", row_group_bytes: int = 16 << 20, page_rows: int = 2000, bytes_per_file: int = 8 << 20,
 ) -> None:
     """Writes (id, n_tokens, offset, ids) in ascending id order: sorted within each file, files in order of their number.
 
@@ -118,7 +141,7 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, known = 0, encoder(tokenizer_file)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             parts = [known.encode(t) + end for t in cells(batch.column(1))]
             ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))]))
@@ -138,13 +161,16 @@ def write_token_files(
 def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", ids: bool = True) -> DataFrame:
     """The rows of a folder of token files with ``start``, the number of ids in all rows before; ``ids=False`` reads metadata only.
 
-    The files' totals, one row for each file, are summed up in the order of their numbers.
+    The files' totals, one small row for each file, are summed up in the order of their numbers. They are
+    broadcast as long as there are at most ``MOST_FILES``, so that the ids aren't shuffled for them.
     """
     rows = spark.read.parquet(path)
     part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
     totals = rows.select(part.alias("part"), "n_tokens").groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     columns = [id_col, "n_tokens", "offset", *["ids"] * ids]
+    if len(rows.inputFiles()) <= MOST_FILES:
+        bases = F.broadcast(bases)
     return rows.select(*columns, part.alias("part")).join(bases, "part").select(id_col, (F.col("base") + F.col("offset")).alias("start"), "n_tokens", *["ids"] * ids)
 
 
