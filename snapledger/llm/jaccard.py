@@ -51,46 +51,52 @@ def _partner(size: int, per_cent: int) -> int:
 
 
 def _slack(size: int, per_cent: int) -> int:
-    """How many more parts are signed than can differ; a set with fewer empty ones is sure to meet its like."""
-    return 3 + differ(size, per_cent) // 8
+    """How many more parts are signed than can differ; a set with fewer thin ones is sure to meet its like."""
+    return 3 + differ(size, per_cent) // 5
+
+
+def _parts(grade: int) -> int:
+    """The numbers of parts that are in use: each 1.41 times the one before."""
+    return int(np.ceil(2 ** (grade / 2)))
 
 
 @lru_cache(maxsize=100_000)
 def _scheme(size: int, per_cent: int) -> tuple[int, int]:
-    """(log2 of the parts, parts that are signed) for pairs whose larger set has ``size`` elements."""
-    signed = differ(size, per_cent) + _slack(size, per_cent)
-    return max(0, int(np.ceil(np.log2(signed)))), signed
+    """(grade, parts that are signed) for pairs whose larger set has ``size`` elements."""
+    signed, grade = differ(size, per_cent) + _slack(size, per_cent), 0
+    while _parts(grade) < signed:
+        grade += 1
+    return grade, signed
 
 
 def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
     """The signatures of a set; similar but different sets have one in common.
 
     A pair is compared under the scheme of its larger set. That may be any size up to size * 100 / per_cent,
-    so a set signs, under each number of parts that occurs there, as many parts as the largest asks for. Of those
-    signed parts at most differ() are unequal; unless both sets have empty parts for all the rest, which
-    the single shingles provide for, an equal one has an element.
+    so a set signs, under each number of parts that occurs there, as many parts as the largest asks for. Of the
+    parts that the larger set asks for at most differ() are unequal. The equal ones have two elements or more
+    unless a set has so many thin parts, of one element or none, that they may be all of them; thin parts
+    aren't signed, as one frequent shingle would bring very many unlike sets together, and a set with that
+    many signs single shingles by the prefix rule as well. If only one of a pair has, the other rules it out.
     """
     size = len(x)
     if not size or not differ(_partner(size, per_cent), per_cent):
         return x[:0]
     out = []
-    schemes = {}
-    low, high = _scheme(size, per_cent), _scheme(_partner(size, per_cent), per_cent)
-    for bits in range(low[0], high[0] + 1):
-        schemes[bits] = min(1 << bits, high[1])
-    spread = w.mix(x)
-    for bits, signed in schemes.items():
-        part = (spread >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(size, np.int64)
-        order = np.argsort(part, kind="stable")
-        part, element = part[order], w.mix(spread[order] + np.uint64(bits + 1))
+    (low, _), (high, signed) = _scheme(size, per_cent), _scheme(_partner(size, per_cent), per_cent)
+    spread = np.sort(w.mix(x))
+    thin_ones = False
+    for grade in range(low, high + 1):
+        parts = _parts(grade)
+        part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending, as the elements are
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        total = np.add.reduceat(element, first)
-        index = part[first]
-        keep = index < signed
-        out.append(w.mix(total[keep] ^ w.mix(index[keep].astype(np.uint64) * np.uint64(64) + np.uint64(bits))))
-        if signed - int(keep.sum()) >= _slack(size, per_cent):  # too many empty parts to be sure
-            prefix = np.sort(spread)[: size - -(-per_cent * size // 100) + 1]
-            out.append(w.mix(prefix ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        count = np.diff(np.concatenate((first, [size])))
+        total = np.add.reduceat(w.mix(spread + np.uint64(grade + 1)), first)
+        keep = (part[first] < min(parts, signed)) & (count > 1)
+        out.append(w.mix(total[keep] ^ w.mix(part[first][keep] * np.uint64(64) + np.uint64(grade))))
+        thin_ones |= min(parts, signed) - int(keep.sum()) >= _slack(size, per_cent)
+    if thin_ones:
+        out.append(w.mix(spread[: size - -(-per_cent * size // 100) + 1] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
     return np.unique(np.concatenate(out))
 
 

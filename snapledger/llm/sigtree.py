@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 LEAF = 8
+#: Node pairs that are looked at together.
+PAIRS = 4096
 
 
 class Tree:
@@ -33,24 +35,20 @@ class Tree:
             at = np.arange(0, len(low), LEAF)
             self.levels.append((np.bitwise_or.reduceat(either, at), np.bitwise_and.reduceat(both, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
 
-    def leaves(self, level: int, i: int) -> tuple[int, int]:
-        return i * LEAF**level, min(len(self.sets), (i + 1) * LEAF**level)
 
-    def children(self, level: int, i: int) -> range:
-        return range(i * LEAF, min((i + 1) * LEAF, len(self.levels[level - 1][2])))
-
-
-def possible(a: Tree, la: int, i: int, b: Tree, lb: int, j: int, per_cent: int) -> bool:
-    """Whether any set under the one node may be similar enough to any under the other."""
-    or_a, and_a, low_a, high_a = (x[i] for x in a.levels[la])
-    or_b, and_b, low_b, high_b = (x[j] for x in b.levels[lb])
-    if 100 * high_a < per_cent * low_b or 100 * high_b < per_cent * low_a:
-        return False
-    only_a, only_b = int(np.bitwise_count(and_a & ~or_b).sum()), int(np.bitwise_count(and_b & ~or_a).sum())
-    # a set x has at least only_a elements that no y has, so the union is at least |y| + only_a, the overlap at most |x| - only_a
-    overlap = min(int(high_a) - only_a, int(high_b) - only_b)
-    union = max(int(low_b) + only_a, int(low_a) + only_b)
-    return 100 * overlap >= per_cent * union
+def possible(tree: Tree, level: int, i: np.ndarray, j: np.ndarray, per_cent: int) -> np.ndarray:
+    """Of each pair of nodes of a level whether any set under the one may be similar enough to any under the other."""
+    either, both, low, high = tree.levels[level]
+    fine = (100 * high[i] >= per_cent * low[j]) & (100 * high[j] >= per_cent * low[i])
+    at = np.flatnonzero(fine)
+    i, j = i[at], j[at]
+    only_i = np.bitwise_count(both[i] & ~either[j]).sum(axis=1, dtype=np.int64)
+    only_j = np.bitwise_count(both[j] & ~either[i]).sum(axis=1, dtype=np.int64)
+    # a set x under i has at least only_i elements that no set under j has: the union is at least |y| + only_i, the overlap at most |x| - only_i
+    overlap = np.minimum(high[i] - only_i, high[j] - only_j)
+    union = np.maximum(low[j] + only_i, low[i] + only_j)
+    fine[at] = 100 * overlap >= per_cent * union
+    return fine
 
 
 def similar(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
@@ -83,21 +81,35 @@ def group(sets: list[np.ndarray], per_cent: int) -> np.ndarray:
     for i in range(n - 1):
         if label[i] != label[i + 1] and similar(tree.sets[i], tree.sets[i + 1], per_cent):
             join(i, i + 1)
+    uniform = [(label, label)]  # of each level, the least and largest label under a node, after the neighbours are joined
+    for _ in tree.levels[1:]:
+        at = np.arange(0, len(uniform[-1][0]), LEAF)
+        uniform.append((np.minimum.reduceat(uniform[-1][0], at), np.maximum.reduceat(uniform[-1][1], at)))
+    uniform[0] = (label.copy(), label.copy())
     top = len(tree.levels) - 1
-    stack = [(top, 0, 0)] if n > 1 else []
+    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         level, i, j = stack.pop()
-        (a, b), (c, d) = tree.leaves(level, i), tree.leaves(level, j)
-        first = label[a]
-        if (label[a:b] == first).all() and (label[c:d] == first).all():
-            continue
-        if i != j and not possible(tree, level, i, tree, level, j, per_cent):
+        if len(i) > PAIRS:
+            stack += [(level, i[at : at + PAIRS], j[at : at + PAIRS]) for at in range(0, len(i), PAIRS)]
             continue
+        small, large = uniform[level]
+        done = (small[i] == large[i]) & (small[j] == large[j]) & (small[i] == small[j])
         if level == 0:
-            if i != j and similar(tree.sets[i], tree.sets[j], per_cent):
-                join(i, j)
-            continue
-        stack += [(level - 1, x, y) for x in tree.children(level, i) for y in tree.children(level, j) if i != j or x <= y]
+            done |= (label[i] == label[j]) | (i == j)
+        i, j = i[~done], j[~done]
+        fine = possible(tree, level, i, j, per_cent) | (i == j)
+        i, j = i[fine], j[fine]
+        if level == 0:
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                if label[a] != label[b] and similar(tree.sets[a], tree.sets[b], per_cent):
+                    join(a, b)
+        elif len(i):
+            x, y = np.divmod(np.arange(LEAF * LEAF), LEAF)
+            x, y = (i[:, None] * LEAF + x).ravel(), (j[:, None] * LEAF + y).ravel()
+            below = len(tree.levels[level - 1][2])
+            keep = (x < below) & (y < below) & (x <= y)
+            stack.append((level - 1, x[keep], y[keep]))
     least = {}
     for at, i in zip(label.tolist(), tree.order, strict=True):
         least[at] = min(least.get(at, n), i)
