@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,8 @@ class WordEncoder:
     """The tokenizers library's ids, word by word, for tokenizers whose pre-tokens never cross white space.
 
     The normaliser works on single words too (NFC doesn't compose across white space), so the ids of a text
-    are those of its words, one after another. Each worker encodes a word once while it remembers it.
+    are those of its words, one after another. Each worker encodes a word once while it remembers it. Words
+    that hold an added token go through the library as a whole; an added token with white space is refused.
     """
 
     def __init__(self, file: str):
@@ -39,6 +41,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         vocab = self.tokenizer.get_vocab()
         self.ends = frozenset(i for token, i in vocab.items() if token.endswith("</w>"))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        if any(t.split() != [t] for t in added):
+            raise ValueError("an added token holds white space, so words can't be encoded one by one")
+        # in any case, as tokens may be sought in normalised text: a word too many only costs time
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
         self.words: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -60,7 +67,7 @@ class WordEncoder:
         for word in new:
             text = word.decode()
             core = text.strip(_EDGE)
-            if core.isalpha() and (low := _plain(core)):
+            if core.isalpha() and (low := _plain(core)) and not self.added.search(text):
                 k = text.index(core)
                 parts.append((word, text[:k], low, text[k + len(core) :]))
             else:

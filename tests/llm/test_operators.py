@@ -77,6 +77,13 @@ def test_words_are_encoded_as_the_library_does():
         assert np.frombuffer(own.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_added_tokens_that_are_words_keep_their_ids():
+    library, own = Tokenizer.from_file(WORDS), tokenfiles.WordEncoder(WORDS)
+    for t in ["a <|endoftext|> b", '"<|endoftext|>"', "x <|startoftext|>, y", "(<|endoftext|>)!", "<|EndOfText|> <|endoftext|><|startoftext|>", "endoftext <| endoftext |>"]:
+        assert np.frombuffer(own.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    assert np.frombuffer(own.encode(b"a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
+
+
 def test_bpe_pieces_and_round_trip(spark):
     library = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}, special_tokens={})
     random.seed(1)
