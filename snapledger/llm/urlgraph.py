@@ -1,6 +1,7 @@
 """URL filters: host and path rules first, then trust and distrust spread over the host graph.
 
-DataFrame functions only. Ranks are whole numbers, so that sums don't depend on the order of rows.
+DataFrame functions only, but for two rows of totals that tell when the ranks have settled. Ranks are whole
+numbers, so that sums don't depend on the order of rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ._util import stored
 
-MASS = 10**12  # what the seeds of one kind share
+MASS = 10**12  # what the seeds of one kind share, in the units of the answers
+FINE = 10**12  # parts of such a unit in which ranks are worked out
+ROUNDS = 8  # between two written tables of ranks
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The host of an absolute or scheme-relative link.
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -67,31 +70,41 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, rounds: int = 5, keep: int = 85) -> DataFrame:
-    """Personalised PageRank: (host, rank) after ``rounds`` rounds, from seeds (host, n) over (src, dst, weight).
+def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float = 1e-9) -> DataFrame:
+    """Personalised PageRank, settled: (allow, host, rank) from seeds (allow, host, n) over (allow, src, dst, weight).
 
-    Each round a host passes ``keep`` per cent of its rank on, in whole units by link weight; the rest goes
-    back to the seeds, in proportion to n. Rank at hosts without links out is given up.
+    Both kinds of ``allow`` are ranked at once, each for itself. Each round a host passes ``keep`` per cent of
+    its rank on by link weight; the rest comes from the seeds, in proportion to n. Rank at hosts without links
+    out is given up. Ranks begin with the seeds' own part and only grow, so a kind's summed change is the
+    growth of its total. Rounds go on until ``ROUNDS`` of them add at most ``tolerance`` of the mass to each
+    total and reach no new host. A kind's mass is ``MASS`` times ``FINE``; shares are floored after the
+    multiplication, so what a link loses is under one unit. Link weights are below 10^12.
     """
-    total = seeds.agg(F.sum("n")).first()[0] or 1  # one number
-    start = seeds.select("host", F.expr(f"CAST(CAST({MASS} AS DECIMAL(20,0)) * CAST(n AS DECIMAL(18,0)) AS DECIMAL(38,0)) div {total}").alias("seed"))
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    shares = stored(edges.join(out, "src"), "shares")
-    start = stored(start, "seeds")
-    rank = start.select("host", F.col("seed").alias("rank"))
-    for _ in range(rounds):
-        passed = rank.join(shares, rank["host"] == shares["src"]).groupBy("dst").agg(F.sum(F.expr(f"(rank div out) * weight * {keep}")).alias("part"))
-        parts = passed.select(F.col("dst").alias("host"), "part").unionByName(start.select("host", (F.col("seed") * (100 - keep)).alias("part")))
-        rank = parts.groupBy("host").agg(F.expr("sum(part) div 100").alias("rank"))
-    return rank
-
-
-def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int = 5, ratio: int = 1, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    totals = seeds.groupBy("allow").agg(F.sum("n").alias("total"))
+    seed = F.expr(f"CAST(floor(CAST(n AS DECIMAL(18,0)) * {100 - keep} * CAST({MASS * FINE // 100} AS DECIMAL(23,0)) / CAST(total AS DECIMAL(18,0))) AS DECIMAL(38,0))")
+    start = stored(seeds.join(totals, "allow").select("allow", "host", seed.alias("rank")), "seeds")
+    out = edges.groupBy("allow", "src").agg(F.sum("weight").alias("out"))
+    shares = stored(edges.join(out, ["allow", "src"]).select("allow", F.col("src").alias("host"), "dst", F.expr(f"CAST(weight * {keep} AS DECIMAL(14,0))").alias("part"), F.expr("CAST(out * 100 AS DECIMAL(20,0))").alias("out")), "shares")
+    share = F.expr("CAST(floor(CAST(rank * part AS DECIMAL(38,0)) / out) AS DECIMAL(38,0))")
+    rank, before = start, None
+    while True:
+        figures = {r.allow: (r.total, r.hosts) for r in rank.groupBy("allow").agg(F.sum("rank").alias("total"), F.count("*").alias("hosts")).collect()}  # two rows at most
+        if before is not None and all(hosts == before[k][1] and total - before[k][0] <= tolerance * MASS * FINE for k, (total, hosts) in figures.items()):
+            return rank
+        before = figures
+        for _ in range(ROUNDS):
+            passed = rank.join(shares, ["allow", "host"]).select("allow", F.col("dst").alias("host"), share.alias("rank")).where("rank > 0")
+            rank = passed.unionByName(start).groupBy("allow", "host").agg(F.sum("rank").cast("decimal(38,0)").alias("rank"))
+        rank = stored(rank, "ranks")
+
+
+def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, tolerance: float = 1e-9, ratio: int = 1, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: its id, host, path, ``rule`` (null if none fits), ``verdict``, ``trust`` and ``distrust``.
 
     Where no rule fits, a host's pages are blocked if its distrust exceeds ``ratio`` times its trust. Trust
     flows along links from hosts with pages that a rule allows, distrust against the links from hosts with
-    pages that a rule blocks, in proportion to the number of such pages. A url that is null or without
+    pages that a rule blocks, in proportion to the number of such pages, until the ranks have settled (see
+    ``spread``); verdicts compare them unrounded. A url that is null or without
     ``://`` has an empty host and path and is allowed. Null html has no links. Repeated rows count and are
     answered one by one; null ids stay; other columns aren't read. With no rows or no seeds nothing is blocked.
     """
@@ -100,10 +113,12 @@ def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int = 5,
     ruled = base.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     edges = stored(host_edges(pages.select(host_of(url).alias("host"), F.col(html_col).alias("html"))), "edges")
     seeds = stored(ruled.where("found IS NOT NULL AND host <> ''").groupBy("host", F.col("found.allow").alias("allow")).agg(F.count("*").alias("n")), "seed_hosts")
-    trust = spread(seeds.where("allow").select("host", "n"), edges, rounds)
-    distrust = spread(seeds.where("NOT allow").select("host", "n"), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"), rounds)
-    ranks = trust.withColumn("allow", F.lit(True)).unionByName(distrust.withColumn("allow", F.lit(False)))
-    scores = stored(ranks.groupBy("host").agg(F.coalesce(F.sum(F.when(F.col("allow"), F.col("rank"))), F.lit(0)).alias("trust"), F.coalesce(F.sum(F.when(~F.col("allow"), F.col("rank"))), F.lit(0)).alias("distrust")), "scores")
+    both = edges.select(F.lit(True).alias("allow"), "src", "dst", "weight").unionByName(edges.select(F.lit(False).alias("allow"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    ranks = spread(seeds, both, tolerance=tolerance)
+    of = lambda kind: F.coalesce(F.sum(F.when(kind, F.col("rank"))), F.lit(0)).cast("decimal(38,0)")
+    fine = ranks.groupBy("host").agg(of(F.col("allow")).alias("trust"), of(~F.col("allow")).alias("distrust"))
+    whole = lambda c: F.floor(F.col(c) / F.lit(FINE)).cast("long").alias(c)
+    scores = stored(fine.select("host", (F.col("distrust") <= F.col("trust") * ratio).alias("fair"), whole("trust"), whole("distrust")), "scores")
     joined = ruled.join(scores, "host", "left").withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("trust", "distrust")})
-    allow = F.coalesce(F.col("found.allow"), F.col("distrust") <= ratio * F.col("trust"))
+    allow = F.coalesce(F.col("found.allow"), F.col("fair"), F.lit(True))
     return joined.select(F.col("id").alias(id_col), "host", "path", F.col("found.rule").alias("rule"), F.when(allow, "allow").otherwise("block").alias("verdict"), "trust", "distrust")

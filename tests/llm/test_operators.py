@@ -282,6 +282,41 @@ def test_url_rules(spark):
     assert urlgraph.judge(df.limit(0)).collect() == []
 
 
+def settled(seeds, edges, keep=0.85):
+    """Personalised PageRank in floating point, far beyond the tolerance, to a mass of one."""
+    total, out = sum(seeds.values()), {}
+    for (a, _), w in edges.items():
+        out[a] = out.get(a, 0) + w
+    start = {h: (1 - keep) * n / total for h, n in seeds.items()}
+    rank = start
+    for _ in range(400):
+        new = dict(start)
+        for (a, b), w in edges.items():
+            new[b] = new.get(b, 0) + keep * rank.get(a, 0) * w / out[a]
+        rank = new
+    return rank
+
+
+def test_ranks_settle_and_reach_every_host(spark):
+    rng = random.Random(6)
+    edges = {(f"c{i}", f"c{i + 1}"): 1 for i in range(12)} | {("c12", "c11"): 1}  # far from the seed
+    edges |= {("hub", f"h{i}"): 10**9 for i in range(200)} | {("c3", "hub"): 1, ("c3", "c4"): 10**7}  # more links than rank
+    edges |= {(f"r{rng.randrange(20)}", f"r{rng.randrange(20)}"): rng.randint(1, 9) for _ in range(60)}
+    seeds = {True: {"c0": 3, "r1": 1}, False: {"r2": 5, "c5": 2}}
+    table = spark.createDataFrame([(k, a, b, w) for k in seeds for (a, b), w in edges.items()], "allow boolean, src string, dst string, weight long")
+    given = spark.createDataFrame([(k, h, n) for k, of in seeds.items() for h, n in of.items()], "allow boolean, host string, n long")
+    got = {(r.allow, r.host): int(r.rank) / (urlgraph.MASS * urlgraph.FINE) for r in urlgraph.spread(given, table).collect()}
+    want = {(k, h): x for k, of in seeds.items() for h, x in settled(of, edges).items() if x > 0}
+    assert got.keys() == want.keys() and (True, "c12") in got and (True, "h7") in got
+    assert all(abs(got[x] - want[x]) < 1e-8 for x in want)
+
+
+def test_verdicts_reach_beyond_five_links(spark):
+    chain = [(i, f"http://s{i}.org/x", f'<a href="http://s{i + 1}.org/">') for i in range(9)] + [(9, "http://s9.org/x", '<a href="http://bad.org/es/">'), (10, "http://bad.org/es/", None)]
+    got = {r.page_id: r for r in urlgraph.judge(spark.createDataFrame(chain, "page_id long, url string, html string")).collect()}
+    assert [got[i].verdict for i in range(11)] == ["block"] * 11 and got[0].distrust > 0 and got[0].trust == 0
+
+
 def hexes(seed, i):
     return int(hashlib.sha256(f"{seed}:{i // 16}".encode()).hexdigest()[i % 16 * 4 :][:4], 16)
 
