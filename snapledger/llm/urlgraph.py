@@ -17,6 +17,11 @@ MASS = 10**12  # what the seeds of one kind share, in the units of the answers
 FINE = 10**12  # parts of such a unit in which ranks are worked out
 ROUNDS = 8  # between two written tables of ranks
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Public suffixes of two labels: well-known ones, not the whole public suffix list.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "org.nz", "co.jp", "ne.jp", "or.jp", "ac.jp", "co.kr", "or.kr", "com.br", "org.br", "com.mx", "com.ar", "com.co",
+    "com.cn", "org.cn", "net.cn", "com.tw", "com.hk", "com.sg", "com.my", "co.in", "org.in", "co.id", "co.th", "com.tr", "com.ua", "co.il", "org.il", "co.za", "org.za", "com.eg", "com.pl", "github.io",
+)
 #: The host of an absolute or scheme-relative link.
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -60,12 +65,17 @@ def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> Column:
 def host_edges(pages: DataFrame) -> DataFrame:
     """Links between hosts (src, dst, weight) from ``host`` and ``html``, and one from each host to the host it is a subdomain of and back.
 
+    The latter go up from every host, one label at a time, to a host of two labels or one below a public suffix
+    of ``SUFFIXES``; addresses in numbers have none.
+
     Links are counted per pair before they are shuffled, so a host with very many pages is no burden. Links
     to the same host don't count.
     """
     links = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("dst")).withColumn("dst", F.translate("dst", _UPPER, _LOWER))
-    hosts = pages.select(F.col("host").alias("src")).union(links.select("dst")).where(F.size(F.split("src", r"\.")) >= 4).distinct()
-    up = hosts.select("src", F.expr("substr(src, instr(src, '.') + 1)").alias("dst"))
+    hosts = pages.select(F.col("host").alias("src")).union(links.select("dst")).where(F.size(F.split("src", r"\.")) >= 3).distinct()
+    named = hosts.where(~F.col("src").rlike(r"^[0-9.]+(:[0-9]*)?$")).select(F.split("src", r"\.").alias("x"))
+    steps = named.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("x") - 2), lambda i: F.struct(F.array_join(F.slice("x", i, F.size("x")), ".").alias("src"), F.array_join(F.slice("x", i + 1, F.size("x")), ".").alias("dst")))).alias("s"))
+    up = steps.select("s.*").where(F.col("dst").rlike(r"^[^.]+(\.[^.]+)+$") & ~F.col("dst").isin(*SUFFIXES)).distinct()
     every = links.unionByName(up).unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return every.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("weight"))
 

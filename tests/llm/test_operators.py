@@ -317,6 +317,17 @@ def test_verdicts_reach_beyond_five_links(spark):
     assert [got[i].verdict for i in range(11)] == ["block"] * 11 and got[0].distrust > 0 and got[0].trust == 0
 
 
+def test_every_subdomain_has_an_edge_to_its_parent(spark):
+    hosts = ["www.site.com", "site.com", "a.b.c.net", "shop.co.uk", "m.shop.co.uk", "10.0.0.1", "10.0.0.2:80", "x..org", "two.org", "com", "", None]
+    pages = spark.createDataFrame([(h, '<a href="http://WWW.Linked.org/">' if h == "two.org" else None) for h in hosts], "host string, html string")
+    got = {(r.src, r.dst): r.weight for r in urlgraph.host_edges(pages).collect()}
+    up = [("www.site.com", "site.com"), ("a.b.c.net", "b.c.net"), ("b.c.net", "c.net"), ("m.shop.co.uk", "shop.co.uk"), ("www.linked.org", "linked.org")]
+    assert got == {e: 1 for a, b in up for e in ((a, b), (b, a))} | {("two.org", "www.linked.org"): 1}
+    rows = [(1, "http://bad.org/es/1"), (2, "http://bad.org/fr/"), (3, "http://www.bad.org/fr/")]
+    judged = urlgraph.judge(spark.createDataFrame([(*r, None) for r in rows], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.verdict for r in judged} == {1: "block", 2: "block", 3: "block"}
+
+
 def hexes(seed, i):
     return int(hashlib.sha256(f"{seed}:{i // 16}".encode()).hexdigest()[i % 16 * 4 :][:4], 16)
 
