@@ -57,9 +57,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _blocks(seed: Column, text: Column) -> Column:
-    """A seed's row of numbers below 65536, long enough for a text: sha256 digests, four hexadecimal digits a number."""
-    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / 16).cast("int")), lambda b: F.sha2(F.concat_ws(":", seed, b.cast("string")), 256))
+def _blocks(seed: Column, text: Column, more: Column) -> Column:
+    """A seed's row of numbers below 65536, long enough for a text and some ``more``: sha256 digests, four hexadecimal digits a number."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.length(text) + more) / 16).cast("int")), lambda b: F.sha2(F.concat_ws(":", seed, b.cast("string")), 256))
 
 
 def _number(blocks: Column, i: Column) -> Column:
@@ -131,14 +131,18 @@ def _ip(blocks: Column) -> Column:
     return F.concat_ws(".", (_number(blocks, F.lit(0)) % 223 + 1).cast("string"), *((_number(blocks, F.lit(i)) % 256).cast("string") for i in (1, 2, 3)))
 
 
-def _person(value: Column, blocks: Column) -> Column:
-    """The title stays, and with it the gender; names of the same script, and as many of them."""
+def _person(value: Column, blocks: Column, attempt: Column) -> Column:
+    """The title stays, and with it the gender; names of the same script, and as many of them.
+
+    Each further draw has a syllable more, so its names are sixteen times as many.
+    """
     title = F.regexp_extract(value, r"^\S+ ", 0)
     woman = F.regexp_replace(F.trim(title), r"\.$", "").isin(TITLES["f"])
     script = F.when(value.rlike(r" \p{IsCyrillic}"), "cyrillic").when(value.rlike(r" \p{IsGreek}"), "greek").otherwise("latin")
     out = F.lit("")
     for sex, of in GIVEN:
-        last = F.concat(F.initcap(F.concat(*(_pick(SYLLABLES[of], _number(blocks, F.lit(i))) for i in (1, 2, 3)))), F.lit(SURNAME_ENDS[sex, of]))
+        syllables = F.transform(F.sequence(F.lit(1), F.lit(3) + attempt), lambda i: _pick(SYLLABLES[of], _number(blocks, i)))
+        last = F.concat(F.initcap(F.array_join(syllables, "")), F.lit(SURNAME_ENDS[sex, of]))
         given = _pick(GIVEN[sex, of], _number(blocks, F.lit(0)))
         names = F.when(value.rlike(r"^\S+ \S+ \S+$"), F.concat_ws(" ", given, last)).otherwise(last)
         out = F.when((woman == F.lit(sex == "f")) & (script == of), names).otherwise(out)
@@ -153,11 +157,11 @@ def surrogate(kind: Column, value: Column, key: str, attempt: Column) -> Column:
             secret = F.when(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _reshaped(value, blocks, HEX)).otherwise(_reshaped(value, blocks))
             return (
                 F.when(kind == "email", _email(value, blocks)).when(kind == "card", _card(value, blocks)).when(kind == "ip", _ip(blocks))
-                .when(kind == "phone", _phone(value, blocks)).when(kind == "person", _person(value, blocks)).otherwise(secret)
+                .when(kind == "phone", _phone(value, blocks)).when(kind == "person", _person(value, blocks, attempt)).otherwise(secret)
             )
 
-        out = _let(_blocks(seed, value), new)
-        return F.when(attempt >= ROUNDS, F.concat(out, F.lit("-"), F.substring(seed, 1, 16))).otherwise(out)
+        out = _let(_blocks(seed, value, attempt + 4), new)
+        return F.when((attempt >= ROUNDS) & (kind != "person"), F.concat(out, F.lit("-"), F.substring(seed, 1, 16))).otherwise(out)
 
     return F.when(kind.isNull(), value).otherwise(_let(F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value), 256), drawn))
 
@@ -198,7 +202,8 @@ def draws(known: DataFrame, key: str) -> DataFrame:
 
     Where entities collide, the one that drew first keeps the surrogate (equal ones: the first in order of
     text); the others draw again, and so do those whose surrogate is a real value. Groups are as small as
-    collisions are rare. In the last round part of a digest is added, which tells apart whoever still collides.
+    collisions are rare. Names grow with the attempt. In the last round part of a
+    digest is added to all but persons, which tells apart whoever still collides.
     """
     now = known.withColumn("attempt", F.lit(0))
     for i in range(ROUNDS + 1):

@@ -372,6 +372,12 @@ def test_surrogates_against_brute_force(spark):
     assert got == [brute_pii(t) for t in texts] and got[3] == texts[3] and "555-7713" not in got[0]
 
 
+def test_more_persons_than_short_names_stay_names(spark):
+    rows = spark.range(6000).selectExpr("'person' AS kind", "concat('Mr. Q', translate(lpad(conv(id, 10, 16), 5, '0'), '0123456789ABCDEF', 'abcdefghijklmnop')) AS value")
+    known = pii.draws(rows, "key").collect()
+    assert len({r.surrogate for r in known}) == 6000 and all(re.fullmatch(r"Mr\. [A-Z][a-z]+man", r.surrogate) for r in known)
+
+
 def test_surrogates_stay_distinct_and_coreferent(spark):
     names = [f"Mr. {'ABC'[i % 3]}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(300)]
     rows = [(i, f"{a}, {names[(i * 7) % 300]}" + (", \ufdd0" if i % 2 else "")) for i, a in enumerate(names)] + [(5, None), (7, ", "), (7, ", ")]
