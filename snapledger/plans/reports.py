@@ -163,11 +163,23 @@ def name_coverage(left: DataFrame, name: str, right: DataFrame, right_name: str)
     return profile.coverage(left, name_key(F.col(name)), right, name_key(F.col(right_name)))
 
 
-def similar_names(names: DataFrame, name: str, most: int = 2, block: int = 4) -> DataFrame:
-    """Designed further: pairs of compared names that share their first ``block`` characters and are at most ``most`` edits apart."""
-    keys = names.select(name_key(F.col(name)).alias("a")).distinct().withColumn("_b", F.left(F.col("a"), F.lit(block)))
-    other = keys.select(F.col("a").alias("b"), "_b")
-    return keys.join(other, "_b").where("a < b").where(F.levenshtein("a", "b", most) >= 0).select("a", "b", F.levenshtein("a", "b").cast("long").alias("edits"))
+def similar_names(names: DataFrame, name: str, most: int = 2) -> DataFrame:
+    """Designed further: all pairs of compared names at most ``most`` edits apart.
+
+    The shorter name is cut into ``most`` + 1 pieces, so some piece stands unedited in the longer one, and one of
+    them, the i-th from 0, is moved by at most i places seen from the left and ``most`` - i seen from the right. Candidates are checked before they're made distinct.
+    """
+    n = most + 1
+    keys = names.select(name_key(F.col(name)).alias("a")).where("a IS NOT NULL").distinct().withColumn("l", F.length("a"))
+    cut = keys.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("p", F.expr(f"CAST(l * i div {n} AS INT)"))
+    pieces = cut.select(F.col("a").alias("b"), "l", "i", F.expr(f"substr(a, p + 1, CAST(l * (i + 1) div {n} AS INT) - p)").alias("piece"))
+    probes = keys.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("l", F.col("l") - F.col("d")).where("l >= 0")
+    probes = probes.withColumn("p", F.expr(f"CAST(l * i div {n} AS INT)")).withColumn("w", F.expr(f"CAST(l * (i + 1) div {n} AS INT) - p"))
+    probes = probes.withColumns({"lo": F.expr(f"greatest(p - i, p + d - ({most} - i), 0)"), "hi": F.expr(f"least(p + i, p + d + ({most} - i), l + d - w)")}).where("lo <= hi")
+    probes = probes.withColumn("at", F.explode(F.sequence("lo", "hi"))).select("a", "l", "i", F.expr("substr(a, at + 1, w)").alias("piece")).distinct()
+    close = probes.join(pieces, ["l", "i", "piece"]).where("a <> b").where(F.levenshtein("a", "b", most) >= 0)
+    pairs = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select("a", "b", F.levenshtein("a", "b").cast("long").alias("edits"))
 
 
 def search(df: DataFrame, order: Sequence[Column], n: int, **filters: Column) -> DataFrame:

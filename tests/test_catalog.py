@@ -53,3 +53,31 @@ def test_contracts_on_empty_tables(spark):
     assert checks.freshness(empty, "at", "2024-01-01", 1, 2).first().status == "error" and checks.row_floor(empty, 1).count() == 1
     some = spark.createDataFrame([(None,), (5,)], "a int")
     assert checks.orphans(some, "a", empty, "a").count() == 2 and checks.relationships(some, "a", empty, "a").count() == 1
+
+
+def test_similar_names_lose_no_pair(spark):
+    import random
+
+    from snapledger.plans import reports
+
+    def edits(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            new = [i]
+            for j, e in enumerate(y, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != e)))
+            row = new
+        return row[-1]
+
+    rng, names = random.Random(7), ["", "A", "BCDE", "XRED LACE", "RED LACE"]
+    for _ in range(110):
+        t = list(rng.choice(names)) if rng.random() < 0.8 else [rng.choice("ABCD ") for _ in range(rng.choice([3, 7, 14, 25]))]
+        for _ in range(rng.randint(0, 4)):
+            p = rng.randint(0, len(t))
+            t[p : p + rng.randint(0, 1)] = rng.choice(["", "A", "B", "C"])
+        names.append("".join(t))
+    df = spark.createDataFrame([(x,) for x in names] + [(None,)], "name string")
+    keys = sorted({x.strip() for x in names})
+    for most in (2, 5):
+        want = sorted((x, y, edits(x, y)) for i, x in enumerate(keys) for y in keys[i + 1 :] if edits(x, y) <= most)
+        assert sorted(map(tuple, reports.similar_names(df, "name", most).collect())) == want
