@@ -73,7 +73,7 @@ def places(line: bytes, phrases: tuple[tuple[str, str], ...] = PHRASES) -> list[
 
 
 def fuzzy(line: bytes, of: tuple[Notice, ...]) -> list[tuple[int, int, str, int, int]]:
-    """(first byte, end, label, edits, notice length) of the best match about each place with an exact seed."""
+    """(first byte, end, label, edits, notice length) of the best matches about each place with an exact seed."""
     out = []
     for x in of:
         size, done = len(x.text.encode()), -1
@@ -86,14 +86,25 @@ def fuzzy(line: bytes, of: tuple[Notice, ...]) -> list[tuple[int, int, str, int,
                 at = line.find(seed, at + 1)
         for a, b in _merged(regions):
             piece = line[max(a, 0) : b].decode()
-            for m in x.pattern.finditer(piece):
+            for m in _matches(x, piece):
                 first = max(a, 0) + len(piece[: m.start()].encode())
-                if first > done:
+                if first >= done:
                     done = first + len(m[0].encode())
                     out.append((first, done, x.label, sum(m.fuzzy_counts), len(x.text)))
     return sorted(out)
 
 
+def _matches(x: Notice, piece: str) -> list[regex.Match]:
+    """Matches that don't overlap, in order: the best one first, then those before and behind it."""
+    out, left = [], [(0, len(piece))]
+    while left:
+        a, b = left.pop()
+        if b - a >= len(x.text) - x.edits and (m := x.pattern.search(piece, a, b)):
+            out.append(m)
+            left += [(a, m.start()), (m.end(), b)]
+    return sorted(out, key=lambda m: m.start())
+
+
 def _merged(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(regions):

@@ -269,6 +269,12 @@ def test_license_seeds_lose_no_match():
     assert licenses.places(licenses.joined(b"x Under THE mit-license, under the MIT license")[1]) == [(1, 4, "mit"), (5, 4, "mit")]
 
 
+def test_unequal_notices_side_by_side_are_all_found():
+    text = b"relased under the mit license released under the mit license and released undr the mit license"
+    got = [f for f in licenses.fuzzy(licenses.joined(text)[1], licenses.notices()) if f[4] == 30]
+    assert [f[3] for f in got] == [1, 0, 1] and got[0][0] < 3
+
+
 def test_url_rules(spark):
     urls = ["https://a.EXAMPLE.com/en/7x?q", "http://example.com/en/8", "http://other.com/en/", "http://com/en/", "http://x.net/de/8", "http://m.example.net/de/81#t", "http://x.org/es", "http://notexample.com/fr/", "no scheme", None, "x://h?a", "://", "http://élan.net/de/"]
     html = '<a href="http://bad.org/es/1">x</a><a href="//other.com/">y</a><a HREF=\'https://bad.org\'>z</a>'
