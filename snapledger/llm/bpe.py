@@ -32,6 +32,9 @@ def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
 #: look-ahead of ``\s+(?!\S)`` is decided by what stands behind the run, which stays with the run.
 _SAFE = regex.compile(r"(?<=\S)(?=[ \n])")
 
+#: White space so long that the library's backtracking may run out of stack on it.
+_BLANK = regex.compile(r"\s{4096,}")
+
 
 def pieces(text: str, size: int = LONG) -> Iterator[str]:
     """Splits a long text at safe boundaries, each piece the first one of at least ``size`` code points."""
@@ -45,12 +48,30 @@ def pieces(text: str, size: int = LONG) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(text: str, encoder: tiktoken.Encoding, size: int = LONG) -> list[int]:
+def matches(text: str, size: int = LONG, blank: regex.Pattern = _BLANK) -> Iterator[tuple[str, bool]]:
+    """The pieces of a long text, and of each whether it's one match of the pattern by itself.
+
+    Those are long runs of white space. ``\\s+(?!\\S)`` takes such a run whole at the end of a text, and elsewhere
+    all of it but the last character, which goes with what follows.
+    """
+    start = 0
+    for run in blank.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        if run.start() > start:
+            yield from ((x, False) for x in pieces(text[start : run.start()], size))
+        yield text[run.start() : end], True
+        start = end
+    if start < len(text):
+        yield from ((x, False) for x in pieces(text[start:], size))
+
+
+def encode(text: str, encoder: tiktoken.Encoding, size: int = LONG, blank: regex.Pattern = _BLANK) -> list[int]:
+    """The library's ids; of a text longer than ``size`` piece by piece."""
     if len(text) <= size:
         return encoder.encode_ordinary(text)
     ids: list[int] = []
-    for piece in pieces(text, size):
-        ids += encoder.encode_ordinary(piece)
+    for piece, one in matches(text, size, blank):
+        ids += encoder._encode_single_piece(piece) if one else encoder.encode_ordinary(piece)
     return ids
 
 

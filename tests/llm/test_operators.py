@@ -97,6 +97,20 @@ def test_bpe_pieces_and_round_trip(spark):
     assert r.ids_sha256 == hashlib.sha256(",".join(map(str, library.encode_ordinary("héllo wörld"))).encode()).hexdigest() and r.decoded_sha256 == hashlib.sha256("héllo wörld".encode()).hexdigest()
 
 
+def test_long_white_space_does_not_stop_the_library():
+    encoder, blank = bpe.encoding(RANKS, P.PATTERN), re.compile(r"\s{3,}")
+    random.seed(2)
+    for _ in range(500):
+        t = "".join(random.choice(["a", " ", "   ", "\n\n\n\n", "1", "'s", "\u3000\u3000", "\x85", "日"]) for _ in range(random.randint(0, 40)))
+        assert "".join(x for x, _ in bpe.matches(t, 5, blank)) == t and bpe.encode(t, encoder, 5, blank) == encoder.encode_ordinary(t)
+    for t in (" " * 1_000_000 + "x", "x" + "\n" * 1_000_000, " \n" * 500_000 + "y", "a" * 1_000_000):
+        assert encoder.decode_bytes(bpe.encode(t, encoder)) == t.encode()
+    t = " " * 60_000 + "x"
+    assert bpe.encode(t, encoder, 1000) == encoder.encode_ordinary(t)
+    long = LONG * 3
+    assert len(long) > 2 * bpe.LONG and bpe.encode(long, encoder) == encoder.encode_ordinary(long)
+
+
 def brute_bytes(docs, width):
     seen, out = set(), []
     for i, t in sorted(docs):
