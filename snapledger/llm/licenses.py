@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,6 +31,13 @@ NOTICES = (
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl-2"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("this work is licensed under the gnu general public license version 2", "gpl-2"),
+    ("under the terms of the gnu lesser general public license", "lgpl"),
+    ("under the terms of the gnu affero general public license", "agpl-3"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("to the extent possible under law the author has waived all copyright and related rights", "cc0-1"),
+    ("distributed under the boost software license version 1 0", "bsl-1"),
+    ("made available under the terms of the eclipse public license", "epl"),
 )
 
 
@@ -38,22 +46,72 @@ class Notice:
     text: str
     label: str
     edits: int
-    seeds: tuple[tuple[bytes, int], ...]  # exact pieces and where they begin in the notice
+    #: Twice as many exact pieces as the pigeonhole needs, and where they begin in the notice.
+    pieces: tuple[tuple[str, int], ...]
     pattern: regex.Pattern
 
+    @property
+    def seeds(self) -> list[tuple[str, int]]:
+        """Pairs of neighbouring pieces: one more than the edits, so some seed of any match is untouched."""
+        return [(a + b, at) for (a, at), (b, _) in zip(self.pieces[::2], self.pieces[1::2], strict=True)]
+
+    def fits(self, line: str, at: int) -> bool:
+        """Whether enough pieces stand about where they would if the notice began near ``at``.
+
+        An edit spoils one piece at most, so of a match all but ``edits`` pieces are found, each shifted by
+        no more than ``edits`` characters.
+        """
+        left, reach = self.edits, self.edits
+        for piece, offset in self.pieces:
+            first = at + offset
+            if line.find(piece, max(0, first - reach), first + len(piece) + reach) < 0:
+                left -= 1
+                if left < 0:
+                    return False
+        return True
+
 
 def notice(text: str, label: str, per_edit: int = 10) -> Notice:
-    """Allows one edit for each ``per_edit`` characters. Split into one piece more than the edits, so by the
-    pigeonhole principle some piece of any match is untouched: finding the pieces exactly loses nothing."""
+    """Allows one edit for each ``per_edit`` characters; finding seeds exactly loses no match."""
     edits = max(1, len(text) // per_edit)
-    cuts = [len(text) * i // (edits + 1) for i in range(edits + 2)]
-    seeds = tuple((text[a:b].encode(), a) for a, b in zip(cuts, cuts[1:], strict=False))
-    return Notice(text, label, edits, seeds, regex.compile(f"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={edits}}}"))
+    n = 2 * (edits + 1)
+    cuts = [len(text) * i // n for i in range(n + 1)]
+    pieces = tuple((text[a:b], a) for a, b in zip(cuts, cuts[1:], strict=False))
+    pattern = regex.compile(f"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={edits}}}")
+    return Notice(text, label, edits, pieces, pattern)
+
+
+class Notices:
+    """Short notices with one automaton that finds the seeds of all of them in one pass over a text."""
+
+    def __init__(self, of: tuple[Notice, ...]):
+        self.of = of
+        seeds: dict[str, list[tuple[int, int]]] = {}
+        for k, x in enumerate(of):
+            for seed, offset in x.seeds:
+                seeds.setdefault(seed, []).append((k, offset))
+        self.automaton = ahocorasick.Automaton()
+        for seed, places in seeds.items():
+            self.automaton.add_word(seed, (len(seed), tuple(places)))
+        if of:
+            self.automaton.make_automaton()
+
+    def regions(self, line: str) -> dict[int, list[tuple[int, int]]]:
+        """Of each notice the parts of a text outside which it has no match: about seeds whose surroundings fit."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        if not self.of or not line:
+            return out
+        for last, (size, places) in self.automaton.iter(line):
+            for k, offset in places:
+                x, at = self.of[k], last + 1 - size - offset
+                if x.fits(line, at):
+                    out.setdefault(k, []).append((max(0, at - x.edits), min(len(line), at + len(x.text) + x.edits)))
+        return out
 
 
 @lru_cache(maxsize=4)
-def notices(of: tuple[tuple[str, str], ...] = NOTICES, per_edit: int = 10) -> tuple[Notice, ...]:
-    return tuple(notice(text, label, per_edit) for text, label in of)
+def notices(of: tuple[tuple[str, str], ...] = NOTICES, per_edit: int = 10) -> Notices:
+    return Notices(tuple(notice(text, label, per_edit) for text, label in of))
 
 
 def joined(text: bytes | None) -> tuple[int, bytes]:
@@ -66,31 +124,23 @@ def places(line: bytes, phrases: tuple[tuple[str, str], ...] = PHRASES) -> list[
     """(first word, words, label) of each place where a phrase's words stand consecutively."""
     out = []
     for phrase, label in phrases:
-        sought, at = f" {phrase} ".encode(), -1
+        sought, at, word, seen = f" {phrase} ".encode(), -1, 0, 0
         while (at := line.find(sought, at + 1)) >= 0:
-            out.append((line.count(b" ", 0, at), phrase.count(" ") + 1, label))
+            word, seen = word + line.count(b" ", seen, at), at
+            out.append((word, phrase.count(" ") + 1, label))
     return sorted(out)
 
 
-def fuzzy(line: bytes, of: tuple[Notice, ...]) -> list[tuple[int, int, str, int, int]]:
-    """(first byte, end, label, edits, notice length) of the best matches about each place with an exact seed."""
+def fuzzy(line: str, of: Notices) -> list[tuple[int, int, str, int, int]]:
+    """(first character, end, label, edits, notice length) of the best matches about each place that can hold one."""
     out = []
-    for x in of:
-        size, done = len(x.text.encode()), -1
-        regions = []
-        for seed, offset in x.seeds:
-            at = line.find(seed)
-            while at >= 0:
-                a, b = at - offset - x.edits * 4, at - offset + size + x.edits * 4
-                regions.append((line.rfind(b" ", 0, max(0, a) + 1) if a > 0 else 0, end + 1 if (end := line.find(b" ", b)) >= 0 else len(line)))
-                at = line.find(seed, at + 1)
+    for k, regions in of.regions(line).items():
+        x, done = of.of[k], -1
         for a, b in _merged(regions):
-            piece = line[max(a, 0) : b].decode()
-            for m in _matches(x, piece):
-                first = max(a, 0) + len(piece[: m.start()].encode())
-                if first >= done:
-                    done = first + len(m[0].encode())
-                    out.append((first, done, x.label, sum(m.fuzzy_counts), len(x.text)))
+            for m in _matches(x, line[a:b]):
+                if a + m.start() >= done:
+                    done = a + m.end()
+                    out.append((a + m.start(), done, x.label, sum(m.fuzzy_counts), len(x.text)))
     return sorted(out)
 
 
@@ -115,10 +165,27 @@ def _merged(regions: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def near(line: str, of: Notices) -> list[dict]:
+    """The matches of fuzzy() as spans in words."""
+    out, word, seen = [], 0, 1
+    for a, b, label, edits, size in fuzzy(line, of):
+        if a >= seen:
+            word, seen = word + line.count(" ", seen, a + 1), a + 1
+        out.append({"first_word": word, "n_words": len(line[a:b].split()), "label": label, "edits": edits, "length": size})
+    return out
+
+
 _SPAN = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("label", pa.string()), ("edits", pa.int64()), ("length", pa.int64())])
 
 
-def scan(df: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES, texts: tuple[tuple[str, str], ...] = NOTICES, per_edit: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(
+    df: DataFrame,
+    phrases: tuple[tuple[str, str], ...] = PHRASES,
+    texts: tuple[tuple[str, str], ...] = NOTICES,
+    per_edit: int = 10,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """One row per row of ``df``: its id, n_words, ``base`` and ``notices``, arrays of spans in words.
 
     A span has first_word, n_words, label, edits and the notice's length in characters (0 edits and
@@ -134,13 +201,14 @@ def scan(df: DataFrame, phrases: tuple[tuple[str, str], ...] = PHRASES, texts: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sought = notices(texts, per_edit)
         for batch in batches:
-            counts, base, near = [], [], []
+            counts, base, short = [], [], []
             for text in cells(batch.column(1)):
                 n, line = joined(text)
                 counts.append(n)
                 base.append([{"first_word": a, "n_words": k, "label": x, "edits": 0, "length": 0} for a, k, x in places(line, phrases)])
-                near.append([{"first_word": line.count(b" ", 1, a + 1) if a else 0, "n_words": len(line[a:b].split()), "label": x, "edits": e, "length": size} for a, b, x, e, size in fuzzy(line, sought)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(base, pa.list_(_SPAN)), pa.array(near, pa.list_(_SPAN))], schema=schema)
+                short.append(near(line.decode(), sought))
+            arrays = [pa.array(counts, pa.int64()), pa.array(base, pa.list_(_SPAN)), pa.array(short, pa.list_(_SPAN))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=schema)
 
     span = "array<struct<first_word:bigint,n_words:bigint,label:string,edits:bigint,length:bigint>>"
     return rows.mapInArrow(run, f"id {kind.simpleString()}, n_words long, base {span}, notices {span}").withColumnRenamed("id", id_col)

@@ -267,25 +267,78 @@ def test_quality_statistics_and_cascade(spark):
     assert quality.filter_quality(table(spark, [])).count() == 0
 
 
+def garbled(rng, x):
+    t = list(x.text)
+    for _ in range(rng.randint(0, x.edits + 2)):
+        p = rng.randrange(len(t))
+        t[p : p + rng.randint(0, 1)] = rng.choice("abcxyzé")
+    return "".join(t)
+
+
 def test_license_seeds_lose_no_match():
     rng, of = random.Random(3), licenses.notices()
     lines = ["under the mit license under the mit license"]
-    for x in of:
-        for _ in range(6):
-            t = list(x.text)
-            for _ in range(rng.randint(0, x.edits + 2)):
-                p = rng.randrange(len(t))
-                t[p : p + rng.randint(0, 1)] = rng.choice("abcxyz")
-            lines.append("some words " + "".join(t) + " more words")
+    for x in of.of:
+        lines += [f"some words {garbled(rng, x)} more words" for _ in range(8)]
+        lines += [f"{garbled(rng, x)}{rng.choice(['', ' ', ' and '])}{garbled(rng, rng.choice(of.of))}" for _ in range(4)]
     for line in lines:
         n, joined = licenses.joined(line.encode())
-        assert {f[2] for f in licenses.fuzzy(joined, of)} == {x.label for x in of if x.pattern.search(joined.decode())}, line
+        assert {f[2] for f in licenses.fuzzy(joined.decode(), of)} == {x.label for x in of.of if least_edits(x.text, joined.decode()) <= x.edits}, line
     assert licenses.places(licenses.joined(b"x Under THE mit-license, under the MIT license")[1]) == [(1, 4, "mit"), (5, 4, "mit")]
 
 
+def least_edits(notice, line):
+    """The fewest edits that make some stretch of the line the notice, by dynamic programming."""
+    at, sought = np.arange(len(notice) + 1), np.array([ord(c) for c in notice])
+    row, least = at, len(notice)
+    for c in line:
+        new = np.concatenate(([0], np.minimum(row[:-1] + (sought != ord(c)), row[1:] + 1)))
+        row = np.minimum.accumulate(new - at) + at
+        least = min(least, int(row[-1]))
+    return least
+
+
+def edits_between(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute_licenses(text):
+    """Every column of the query but labels and score, which follow from the spans, word by word."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    found = [(i, label) for phrase, label in licenses.PHRASES for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in found]
+    return len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))
+
+
+def test_license_query_against_brute_force(spark):
+    rng, of = random.Random(8), licenses.notices()
+    texts = [None, "", "Under the MIT license; apache LICENSE, version-2! cc by nc cc by nc", "mit license under the", "ünder the mit license x under the mit license"]
+    for _ in range(25):
+        texts.append(" ".join(rng.choice(["filler wörds", "Under the MIT License", "CC-BY-NC", "Apache License Version 2", garbled(rng, rng.choice(of.of)), "x" * 50]) for _ in range(rng.randint(1, 6))))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    spans = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for r in licenses.digest(licenses.scan(df)).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_licenses(texts[r.doc_id])
+        line = licenses.joined((texts[r.doc_id] or "").encode())[1].decode()
+        close = {x.label for x in of.of if least_edits(x.text, line) <= x.edits}
+        assert r.labels == ",".join(sorted(close | set(filter(None, r.base_labels.split(","))))), line
+        shares = []
+        for s in spans[r.doc_id].notices:
+            some = " ".join(line.split()[s.first_word : s.first_word + s.n_words + 1])
+            x = min((x for x in of.of if x.label == s.label and len(x.text) == s.length), key=lambda x: edits_between(x.text, some))
+            assert s.edits <= x.edits and edits_between(x.text, some) >= s.edits  # a span of whole words about the match
+            shares.append(1 - s.edits / s.length)
+        assert abs(r.score - (1.0 if r.n_base else max(shares, default=0.0))) < 1e-12
+
+
 def test_unequal_notices_side_by_side_are_all_found():
     text = b"relased under the mit license released under the mit license and released undr the mit license"
-    got = [f for f in licenses.fuzzy(licenses.joined(text)[1], licenses.notices()) if f[4] == 30]
+    got = [f for f in licenses.fuzzy(licenses.joined(text)[1].decode(), licenses.notices()) if f[4] == 30]
     assert [f[3] for f in got] == [1, 0, 1] and got[0][0] < 3
 
 
