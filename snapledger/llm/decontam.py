@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import hashlib
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import NORMAL, cells
 
-#: Test items are put into automata of at most this many words; a further block costs a further pass.
-BLOCK_WORDS = 2_000_000
+#: Test items are put into automata of about this many words, but at least one item; a further block costs a
+#: further pass. Building one took 300 MB on the driver for 200,000 words; packed it was 13 MB, which is what is broadcast.
+BLOCK_WORDS = 200_000
 
 
-class Automaton:
+class _Builder:
     """Generalised suffix automaton over item words, with the items whose windows end in each state.
 
     A window is ``width`` consecutive words of an item, or the whole item when it has fewer (not none).
@@ -90,13 +94,41 @@ class Automaton:
             if matched >= size:
                 yield state
 
+
+class Automaton:
+    """The automaton packed into arrays of integers, which is what workers hold.
+
+    ``step`` has the sorted keys state * words + word of all moves and ``goal`` where they lead; the windows of
+    a state are the rows from ``first[state]`` to ``first[state + 1]`` of ``size`` and ``item``.
+    """
+
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int):
+        built = _Builder(items, width)
+        self.width, self.least, self.gram, self.names = width, built.least, built.gram, built.names
+        self.words = {word: i for i, word in enumerate(sorted({w for _, ws in items for w in ws}))}
+        n = self.n_words = max(1, len(self.words))
+        moves = sorted((state * n + self.words[word], goal) for state, of in enumerate(built.next) for word, goal in of.items())
+        self.step, self.goal = array("q", [k for k, _ in moves]), array("i", [g for _, g in moves])
+        self.link, self.length, self.nearest = array("i", built.link), array("i", built.length), array("i", built.nearest)
+        rows = [[(size, k) for size, of in sorted(sizes.items()) for k in sorted(of)] for sizes in built.windows]
+        self.first = array("i", np.cumsum([0, *map(len, rows)]).tolist())
+        self.size, self.item = (array("i", [x[j] for row in rows for x in row]) for j in (0, 1))
+        #: Hashes of the grams; a chance match costs a look and no more.
+        self.grams = frozenset(map(_gram_key, built.grams))
+
+    def move(self, state: int, word: int) -> int:
+        """The state that a word leads to, or -1."""
+        key = state * self.n_words + word
+        at = bisect_left(self.step, key)
+        return self.goal[at] if at < len(self.step) and self.step[at] == key else -1
+
     def regions(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
         """Parts of a text outside which no window can lie: each window holds one of the grams looked up."""
         g, step, grams, n = self.gram, self.least - self.gram + 1, self.grams, len(words)
         start = end = -1
         starts = range(0, n, step)
         for i, gram in zip(starts, zip(*(words[j::step] for j in range(g)), strict=False), strict=False):
-            if gram in grams:
+            if _gram_key(gram) in grams:
                 a, b = max(0, i - self.width + g), min(n, i + self.width)
                 if a > end:
                     if end > 0:
@@ -115,22 +147,27 @@ class Automaton:
         items: set[int] = set()
         if not self.least:
             return out, items
-        step, link, length, nearest, windows = self.next, self.link, self.length, self.nearest, self.windows
+        link, length, nearest, move = self.link, self.length, self.nearest, self.move
         for a, b in self.regions(words):
             state = matched = 0
             for i in range(a, b):
-                word = words[i]
-                while state and word not in step[state]:
+                word = self.words.get(words[i])
+                if word is None:  # no item has it
+                    state = matched = 0
+                    continue
+                goal = move(state, word)
+                while state and goal < 0:
                     state = link[state]
                     matched = length[state]
-                if word in step[state]:
-                    state, matched = step[state][word], matched + 1
+                    goal = move(state, word)
+                if goal >= 0:
+                    state, matched = goal, matched + 1
                 at, widest = nearest[state], 0
                 while at > 0:
-                    for size, of in windows[at].items():
-                        if size <= matched:
-                            items |= of
-                            widest = max(widest, size)
+                    for row in range(self.first[at], self.first[at + 1]):
+                        if self.size[row] <= matched:
+                            items.add(self.item[row])
+                            widest = max(widest, self.size[row])
                     at = nearest[link[at]] if link[at] > 0 else -1
                 if widest:
                     begin = i + 1 - widest
@@ -140,6 +177,10 @@ class Automaton:
         return out, items
 
 
+def _gram_key(words: tuple[bytes, ...]) -> int:
+    return xxhash.xxh3_64_intdigest(b" ".join(words))
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, most: int) -> Iterator[Automaton]:
     """Streams the items to the driver, one partition at a time, and builds one automaton after another."""
     block, size = [], 0
@@ -153,26 +194,40 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, most:
     yield Automaton(block, width)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per row of ``docs``: its columns, and a struct ``found`` (n_words, spans, items).
-
-    ``spans`` are the merged (start, end) word spans covered by occurrences of item windows, ``items`` the
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """Per row of ``docs``: its columns, and last a struct (n_words, spans, items).
+
+    The struct is called ``found``, with underscores added while ``docs`` has a column of that name. ``spans``
+    are the merged (start, end) word spans covered by occurrences of item windows, ``items`` the
     sorted ids, as strings, of the items that they come from. Null texts have no words. Null or empty
     items have no window; an item without an id hits words but isn't listed; repeated item rows count
     once, as ids are distinct. Repeated rows of ``docs`` get a result each. With no items nothing is hit.
 
-    Test items are the small side: an automaton holds at most ``block_words`` words, which bounds what is
+    Test items are the small side: an automaton holds about ``block_words`` words, which bounds what is
     broadcast; a larger benchmark takes one pass over the rows for each block, merging spans as it goes.
     """
     spark = docs.sparkSession
     kind = "struct<n_words:bigint,spans:array<struct<start:int,end:int>>,items:array<string>>"
-    arrow = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
-    out = docs.withColumn("found", F.lit(None).cast(kind))
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    arrow = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))])
+    at, seen = docs.columns.index(text_col), len(docs.columns)
+    taken, name = {c.lower() for c in docs.columns}, "found"
+    while name in taken:
+        name += "_"
+    out = docs.withColumn(name, F.lit(None).cast(kind))
     for block in _blocks(benchmark, item_col, item_text_col, width, block_words):
         shared = spark.sparkContext.broadcast(block)
-        at, seen = docs.columns.index(text_col), len(docs.columns)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared, at=at, seen=seen) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             automaton: Automaton = shared.value
             for batch in batches:
                 found = []
@@ -203,14 +258,21 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """n_words, n_hit, n_items, items_sha256 and contaminated from contamination()'s rows."""
-    hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    of = found.columns[-1]
+    hit = F.aggregate(f"{of}.spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return found.select(
-        F.col(id_col), F.col("found.n_words").alias("n_words"), hit.alias("n_hit"), F.size("found.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
-    )
-
-
-def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, most_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+        F.col(id_col),
+        F.col(f"{of}.n_words").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size(f"{of}.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(f"{of}.items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def remove_spans(
+    docs: DataFrame, benchmark: DataFrame, width: int = 10, most_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **more
+) -> DataFrame:
     """Drops rows whose covered share of words exceeds ``most_coverage``; cuts the covered spans out of the others.
 
     Rows without a hit keep their text as it is, null included. A text with hits loses each covered span
@@ -252,7 +314,3 @@ def _word(clean: bytes, at: int) -> tuple[int, int]:
         at += 1
     end = clean.find(b" ", at)
     return at, len(clean) if end < 0 else end
-
-
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()

@@ -18,11 +18,11 @@ RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json"
 LONG = " ".join(f"word{i % 997} Über{i % 31}" for i in range(20_000))
 # null and repeated ids, repeated rows, null, empty and long texts, and columns that clash with results and inner names
 EDGES = [(1, "one two three four five six seven eight nine ten eleven"), (1, "one two three four five six seven eight nine ten eleven"), (2, None), (None, "lone text with a null id"), (None, None), (3, ""), (3, " \n\t "), (4, LONG), (5, LONG)]
-CLASH = "doc_id long, text string, k string, h string, n_words string, spans string, kept string, id string, row string, n_entities string, kinds string, component_id string, value string, bucket string"
+CLASH = "doc_id long, text string, k string, h string, n_words string, spans string, kept string, id string, row string, n_entities string, kinds string, component_id string, value string, bucket string, found string"
 
 
 def table(spark, rows, parts=3):
-    return spark.createDataFrame([(*r, *["x"] * 12) for r in rows], CLASH).repartition(parts) if rows else spark.createDataFrame([], CLASH)
+    return spark.createDataFrame([(*r, *["x"] * 13) for r in rows], CLASH).repartition(parts) if rows else spark.createDataFrame([], CLASH)
 
 
 OPERATORS = {
@@ -245,6 +245,14 @@ def test_automaton_against_brute_force():
         assert (sum(b - a for a, b in spans), {automaton.names[k] for k in got}) == (sum(hit), found)
 
 
+def test_columns_called_found_stay(spark):
+    df = spark.createDataFrame([(1, "x alpha beta gamma y and some more words", "own", 7)], "doc_id long, text string, Found string, found_ long")
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    out = decontam.remove_spans(df, items)
+    assert out.columns == df.columns and out.first().asDict() == {"doc_id": 1, "text": "x  y and some more words", "Found": "own", "found_": 7}
+    assert decontam.digest(decontam.contamination(df, items)).first().n_hit == 3
+
+
 def test_decontamination_by_blocks_and_removal(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "Delta, epsilon"), (3, None), (4, "")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x ALPHA, beta gamma y delta epsilon z and more words here"), (2, "alpha beta gamma"), (3, None), (4, "clean words")], "doc_id long, text string")
@@ -263,7 +271,7 @@ def test_quality_statistics_and_cascade(spark):
     figures = {"too_few_words": (1.0, 0.5), "repeated_windows": (9.0, 0.9), "symbols": (1.0, 0.05)}
     assert [r.name for r in quality.cascade(quality.BASE + quality.MORE[:1], figures)] == ["too_few_words", "repeated_windows", "symbols"]
     left = quality.filter_quality(table(spark, [(1, junk), (2, fine), (3, None), (4, "A! B! " * 9), (5, "same line here again\n" * 9), (2, fine)]))
-    assert [r.doc_id for r in left.collect()] == [2, 2] and len(left.columns) == 14
+    assert [r.doc_id for r in left.collect()] == [2, 2] and len(left.columns) == 15
     assert quality.filter_quality(table(spark, [])).count() == 0
 
 
