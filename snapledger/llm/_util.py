@@ -39,6 +39,21 @@ def cells(column: pa.Array) -> Iterator[bytes | None]:
         yield None if some and not some[i] else view[at[i] : at[i + 1]].tobytes()
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that column ``text`` of each slice has at most ``most`` bytes, or one row."""
+    for batch in batches:
+        column = batch.column(text).cast(pa.large_binary())
+        if not len(column) or column.buffers()[2] is None:
+            yield batch
+            continue
+        ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        at = 0
+        while at < len(column):
+            end = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only in local mode without it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -75,4 +90,4 @@ def size_in_bytes(df: DataFrame) -> int:
     Where Spark can't tell (rows that come from an RDD), 32 MB for each partition.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else df.rdd.getNumPartitions() << 25
+    return size if size < 1 << 50 else df.rdd.getNumPartitions() << 25

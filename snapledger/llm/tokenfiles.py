@@ -2,98 +2,160 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._util import cells, size_in_bytes
+from ._util import cells, size_in_bytes, slices
 
-#: Words in each of the two generations that a Python worker keeps, which bounds its memory: when the
+#: Bytes of each of the two generations of words that a Python worker keeps, which bounds its memory: when the
 #: newer one is full, the older one goes.
-KEPT_WORDS = 250_000
+KEPT_BYTES = 40 << 20
 #: Up to so many files their totals, 16 bytes each, are broadcast.
 MOST_FILES = 1_000_000
-#: Rows that are encoded at once.
-ROWS = 500
+#: Bytes of texts that are encoded at once, but at least one text.
+SLICE_BYTES = 4 << 20
+_ENTRY = 200  # bytes that a kept word takes besides its own and its ids'
 _EDGE = ".,;:!?#*$%&|<>()\""
 
+# The normaliser and pre-tokeniser for which words can be encoded one by one.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
-class WordEncoder:
-    """The tokenizers library's ids, word by word, for tokenizers whose pre-tokens never cross white space.
+
+class TextEncoder:
+    """The tokenizers library's ids of whole texts, for any tokenizer file."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's end."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast([t.decode() for t in cells(texts)], add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.int32), np.cumsum([len(ids) for ids in found], dtype=np.int64)
+
+
+class WordEncoder(TextEncoder):
+    """The same ids, word by word, for tokenizers whose pre-tokens never cross white space (see fits()).
 
     The normaliser works on single words too (NFC doesn't compose across white space), so the ids of a text
     are those of its words, one after another. Each worker encodes a word once while it remembers it. Words
-    that hold an added token go through the library as a whole; an added token with white space is refused.
+    that hold an added token go through the library as a whole.
     """
 
-    def __init__(self, file: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
-        vocab = self.tokenizer.get_vocab()
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        vocab = tokenizer.get_vocab()
         self.ends = frozenset(i for token, i in vocab.items() if token.endswith("</w>"))
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        if any(t.split() != [t] for t in added):
-            raise ValueError("an added token holds white space, so words can't be encoded one by one")
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         # in any case, as tokens may be sought in normalised text: a word too many only costs time
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        self.in_letters = any(t.isalpha() for t in added)
         self.words: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        words, known = text.split(), self.words
-        if new := [w for w in set(words) if w not in known]:
-            if len(known) > KEPT_WORDS:
-                self.before, self.words, self.cores = known, {}, {}
-                known, new = self.words, list(set(words))
-            old = self.before
-            known.update((w, old[w]) for w in new if w in old)
-            self._learn([w for w in new if w not in known])
-        return b"".join([known[w] for w in words])
+        self.size = 0
+
+    @staticmethod
+    def fits(tokenizer) -> bool:
+        """Whether a tokenizer splits and normalises as this class does, and no added token holds white space."""
+        of = json.loads(tokenizer.to_str())
+        plain = of["normalizer"] == NORMALIZER and of["pre_tokenizer"] == PRE_TOKENIZER and not of["post_processor"]
+        model = of["model"]
+        plain = plain and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not (model["dropout"] or model["unk_token"])
+        return plain and all(t.content.split() == [t.content] for t in tokenizer.get_added_tokens_decoder().values() if t.content)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As above. Arrow splits the texts and finds the distinct words; only these are looked up one by one."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        self._know(words)
+        parts = [self.words[w] for w in words]
+        size = np.array([len(x) for x in parts], np.int64) // 4
+        flat, first = np.frombuffer(b"".join(parts), np.intc), np.cumsum(size) - size
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        many = size[at]
+        ends = np.concatenate(([0], np.cumsum(many)))
+        ids = flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], many)]
+        return ids, ends[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
+
+    def _know(self, words: list[bytes]) -> None:
+        if self.size > KEPT_BYTES:
+            self.before, self.words, self.size = self.words, {}, 0
+        known, old, new = self.words, self.before, []
+        for w in words:
+            if w not in known:
+                if (ids := old.get(w)) is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
+                    self.size += _ENTRY
+        self._learn(new)
+        self.size += _ENTRY * len(new) + sum(map(len, new))
 
     def _learn(self, new: list[bytes]) -> None:
-        parts, cores, rest = [], self.cores, []
+        words, tokenize, whole, parts = self.words, self.tokenizer.model.tokenize, [], []
         for word in new:
-            text = word.decode()
-            core = text.strip(_EDGE)
-            if core.isalpha() and (low := _plain(core)) and not self.added.search(text):
-                k = text.index(core)
-                parts.append((word, text[:k], low, text[k + len(core) :]))
+            if word.isalpha() and not self.in_letters:  # bytes: A-Z and a-z only
+                low = word.lower()
+                core = low.decode()
             else:
-                rest.append(word)
-        tokenize = self.tokenizer.model.tokenize
-        for _, _, core, _ in parts:
-            if core not in cores:
-                cores[core] = _packed([t.id for t in tokenize(core)])
-        self._many([x for x in {y for p in parts for y in (p[1], p[3])} if x and x not in cores])
-        for word, a, b, c in parts:
-            self.words[word] = (cores[a] if a else b"") + cores[b] + (cores[c] if c else b"")
-        for word in rest:
-            self.words[word] = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-
-    def _many(self, cores: list[str]) -> None:
-        """Encodes many pre-tokens in one call, and tells them apart by the ids that end a pre-token."""
-        for at in range(0, len(cores), 512):
-            some = cores[at : at + 512]
-            ids = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
+                text = word.decode()
+                bare = text.strip(_EDGE)
+                low = bare.lower().encode()
+                core = _plain(bare) if bare.isalpha() else None
+                if not core or self.added.search(text):
+                    whole.append(word)
+                    continue
+                if bare != text:
+                    at = text.index(bare)
+                    parts.append((word, text[:at].encode(), low, text[at + len(bare) :].encode()))
+            ids = words.get(low)
+            if ids is None:
+                ids = words[low] = _packed([t.id for t in tokenize(core)])
+            words[word] = ids
+        words[b""] = b""
+        self._edges([x for x in {y for p in parts for y in (p[1], p[3])} if x not in words])
+        for word, a, low, b in parts:
+            words[word] = words[a] + words[low] + words[b]
+        for word in whole:
+            words[word] = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+
+    def _edges(self, edges: list[bytes]) -> None:
+        """Encodes the marks about words in one call, and tells them apart by the ids that end a pre-token."""
+        for at in range(0, len(edges), 512):
+            some = edges[at : at + 512]
+            ids = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
             ends = [i + 1 for i, x in enumerate(ids) if x in self.ends]
             if len(ends) == len(some) and ends[-1] == len(ids):
-                for core, a, b in zip(some, [0, *ends], ends, strict=False):
-                    self.cores[core] = _packed(ids[a:b])
-            else:  # some core isn't one pre-token after normalisation
-                for core in some:
-                    self.cores[core] = _packed(self.tokenizer.encode(core, add_special_tokens=False).ids)
+                self.words.update((edge, _packed(ids[a:b])) for edge, a, b in zip(some, [0, *ends], ends, strict=False))
+            else:  # some edge isn't one pre-token after normalisation
+                self.words.update((edge, _packed(self.tokenizer.encode(edge.decode(), add_special_tokens=False).ids)) for edge in some)
 
 
 #: How byte-level pre-tokenisation writes bytes: printable ones as they are in Latin-1, the others from U+0100 on.
@@ -115,27 +177,44 @@ def _plain(core: str) -> str | None:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return array("i", ids).tobytes()
 
 
 @lru_cache(maxsize=2)
-def encoder(file: str) -> WordEncoder:
-    return WordEncoder(file)
+def encoder(file: str) -> TextEncoder:
+    """By words where the tokenizer allows it, else by whole texts."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(file)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return WordEncoder(tokenizer) if WordEncoder.fits(tokenizer) else TextEncoder(tokenizer)
 
 
 def write_token_files(
-    df: DataFrame, path: str, tokenizer_file: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-    encoding: str = "dictionary", row_group_bytes: int = 16 << 20, page_rows: int = 2000, bytes_per_file: int = 8 << 20,
-) -> None:
+    df: DataFrame,
+    path: str,
+    tokenizer_file: str,
+    end_id: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    encoding: str = "dictionary",
+    row_group_bytes: int = 16 << 20,
+    page_rows: int = 2000,
+    bytes_per_file: int = 64 << 20,
+) -> None:
     """Writes (id, n_tokens, offset, ids) in ascending id order: sorted within each file, files in order of their number.
 
     ``offset`` counts the ids before a row in its file. Ids are lists of int, each ended by ``end_id``;
     ``encoding`` is "dictionary" (16-bit indexes for a small vocabulary) or "delta" (for sorted or narrow
-    ids). Parquet's page indexes and the sorted id column let a reader fetch a few rows' pages, and the
-    metadata columns can be read without the ids. A null text counts as empty; null ids come first; rows
-    with equal ids are ordered by a hash of their text, so that no range partition has to take them all,
-    and repeated rows are each written. Texts, not ids, are shuffled, as they are smaller, and every text
-    is encoded once. The number of files follows the input's size.
+    ids). Row groups hold about ``row_group_bytes``; Parquet's page indexes and the sorted id column let a
+    reader fetch a few rows' pages, and the metadata columns can be read without the ids. A null text counts
+    as empty; null ids come first; rows with equal ids are ordered by a hash of their text, so that one id
+    with many texts is spread over files. Repeated rows are each written; those of one id and text share a
+    file, streamed, so only its length grows. Texts, not ids, are shuffled, as they are smaller, and every
+    text is encoded once. The number of files follows the input's size: one for each ``bytes_per_file`` of it,
+    and at least one for each core. Any tokenizer file will do; special tokens aren't added.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"encoding is dictionary or delta, not {encoding}")
@@ -144,25 +223,31 @@ def write_token_files(
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(text_col).alias("tie"))
     kind = rows.schema["id"].dataType
     schema = pa.schema([("id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("offset", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    end = _packed([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, known = 0, encoder(tokenizer_file)
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            parts = [known.encode(t) + end for t in cells(batch.column(1))]
-            ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))]))
+        for batch in slices(batches, 1, SLICE_BYTES):
+            found, at = known.encode(batch.column(1))
+            ends = np.concatenate(([0], at + np.arange(1, len(at) + 1)))
+            values = np.insert(found, at, end_id)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), pa.array(ends[:-1] + before), ids], schema=schema)
             before += int(ends[-1])
 
-    files = max(1, size_in_bytes(df.select(id_col, text_col)) // bytes_per_file, df.sparkSession.sparkContext.defaultParallelism)
+    size = size_in_bytes(df.select(id_col, text_col))
+    files = max(1, size // bytes_per_file, df.sparkSession.sparkContext.defaultParallelism)
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
+    ordered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("id", "text")
+    found = ordered.mapInArrow(run, f"id {kind.simpleString()}, n_tokens long, offset long, ids array<int>")
     (
-        rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("id", "text")
-        .mapInArrow(run, f"id {kind.simpleString()}, n_tokens long, offset long, ids array<int>").withColumnRenamed("id", id_col)
-        .write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").option("parquet.block.size", row_group_bytes)
-        .option("parquet.page.row.count.limit", page_rows).option("parquet.enable.dictionary", str(encoding == "dictionary").lower()).parquet(path)
-    )
+        found.withColumnRenamed("id", id_col)
+        .write.option("compression", "zstd")
+        .option("parquet.writer.version", "PARQUET_2_0")
+        .option("parquet.block.size", row_group_bytes)
+        .option("parquet.page.row.count.limit", page_rows)
+        .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
+        .parquet(path)
+    )
 
 
 def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", ids: bool = True) -> DataFrame:

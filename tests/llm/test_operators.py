@@ -1,4 +1,5 @@
 import base64
+import glob
 import hashlib
 import random
 import re
@@ -6,6 +7,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -71,30 +74,66 @@ def test_token_files(spark):
     assert tokenfiles.read_tokens(spark, path + "-none").count() == 0
 
 
+ODD = [
+    "İstanbul ΣΑΣ ﬁne don't can't'll x'smart 'S it's <|endoftext|>hi", "Å ÅÅÅ ...abc... (İİ) \"É\"", "a\x1cb\x85c 𝔘𝔫 ½ ² ٣٤ \x00", "ﾊﾞ ｶﾞ", "e\u0301 <\u0338 \u0301x",
+    "a <|endoftext|> b", '"<|endoftext|>"', "x <|startoftext|>, y", "(<|endoftext|>)!", "<|EndOfText|> <|endoftext|><|startoftext|>", "endoftext <| endoftext |>",
+]
+
+
+def encoded(own, texts):
+    ids, ends = own.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def wanted(library, texts):
+    return [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_words_are_encoded_as_the_library_does():
-    library, own = Tokenizer.from_file(WORDS), tokenfiles.WordEncoder(WORDS)
-    for t in ["İstanbul ΣΑΣ ﬁne don't can't'll x'smart 'S it's <|endoftext|>hi", "Å ÅÅÅ ...abc... (İİ) \"É\"", "a\x1cb\x85c 𝔘𝔫 ½ ² ٣٤ \x00", "ﾊﾞ ｶﾞ", "e\u0301 <\u0338 \u0301x"]:
-        assert np.frombuffer(own.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
-
-
-def test_added_tokens_that_are_words_keep_their_ids():
-    library, own = Tokenizer.from_file(WORDS), tokenfiles.WordEncoder(WORDS)
-    for t in ["a <|endoftext|> b", '"<|endoftext|>"', "x <|startoftext|>, y", "(<|endoftext|>)!", "<|EndOfText|> <|endoftext|><|startoftext|>", "endoftext <| endoftext |>"]:
-        assert np.frombuffer(own.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
-    assert np.frombuffer(own.encode(b"a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
-
-
-def test_bpe_pieces_and_round_trip(spark):
-    library = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}, special_tokens={})
-    random.seed(1)
-    for _ in range(200):
-        t = "".join(random.choice(["a", "é", " ", "  ", "\n", "1", "'s", "!", "\u3000", "\x85", "\x1c", "日"]) for _ in range(random.randint(0, 60)))
-        assert "".join(bpe.pieces(t, 5)) == t and bpe.encode(t, library, 5) == library.encode_ordinary(t)
-    df = spark.createDataFrame([(1, "héllo wörld"), (2, None)], "doc_id long, text string")
-    ids = bpe.encode_texts(df, RANKS, P.PATTERN)
-    assert {r.doc_id: bytes(r.bytes).decode() for r in bpe.decode_ids(ids, RANKS, P.PATTERN).collect()} == {1: "héllo wörld", 2: ""}
-    r = bpe.round_trip(df, RANKS, P.PATTERN).where("doc_id = 1").first()
-    assert r.ids_sha256 == hashlib.sha256(",".join(map(str, library.encode_ordinary("héllo wörld"))).encode()).hexdigest() and r.decoded_sha256 == hashlib.sha256("héllo wörld".encode()).hexdigest()
+    library, own = Tokenizer.from_file(WORDS), tokenfiles.encoder(WORDS)
+    assert isinstance(own, tokenfiles.WordEncoder)
+    odd = ["", " \t", *ODD, " a  b\x0b\x0cc\r\n\n", ""]
+    assert encoded(own, odd) == wanted(library, odd) == [encoded(own, [t])[0] for t in odd] and encoded(own, []) == []
+    assert encoded(own, ["a <|endoftext|> b"]) == [[320, 49407, 321]]
+    ids, ends = own.encode(pa.array(["x", "a b", None, "c"]).slice(1, 3).fill_null(""))
+    assert ids[: ends[0]].tolist() == wanted(library, ["a b"])[0] and ends[1] == ends[0]
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "KEPT_BYTES", 3000)
+    library, own, rng = Tokenizer.from_file(WORDS), tokenfiles.WordEncoder(Tokenizer.from_file(WORDS)), random.Random(1)
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["Wörd", "plain", "End.", "$$$", "x%d" % rng.randrange(50), "<|endoftext|>"]) for _ in range(30)) for _ in range(3)]
+        assert encoded(own, texts) == wanted(library, texts)
+
+
+def test_other_tokenizers_are_used_as_they_are():
+    other = P.path("byte_bpe_50k.json")
+    own = tokenfiles.encoder(other)
+    assert not isinstance(own, tokenfiles.WordEncoder) and encoded(own, ODD) == wanted(Tokenizer.from_file(other), ODD)
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_files_have_the_encodings_and_page_indexes_asked_for(spark, encoding):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(30_000)}" for _ in range(60))) for i in range(6000)]
+    path = fresh_path(spark, "layout")
+    tokenfiles.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, WORDS, encoding=encoding, row_group_bytes=1 << 18, page_rows=100)
+    files = sorted(glob.glob(f"{path.removeprefix('file://')}/*.parquet"))
+    assert len(files) >= 4
+    last = -1
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+        assert len(groups) > 1
+        for g in groups:
+            columns = {g.column(j).path_in_schema.split(".")[0]: g.column(j) for j in range(g.num_columns)}
+            assert columns["doc_id"].statistics.min > last and all(c.has_offset_index and c.has_column_index for c in columns.values())
+            last = columns["doc_id"].statistics.max
+            kinds = set(columns["ids"].encodings)
+            assert ("RLE_DICTIONARY" in kinds or "PLAIN_DICTIONARY" in kinds) if encoding == "dictionary" else "DELTA_BINARY_PACKED" in kinds
+    plan = tokenfiles.read_tokens(spark, path, ids=False).where("doc_id BETWEEN 100 AND 120")
+    assert "ids" not in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == 21
 
 
 def test_long_white_space_does_not_stop_the_library():
