@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 import zlib
 from array import array
@@ -21,7 +22,7 @@ from ._util import cells, size_in_bytes, slices
 
 #: Bytes of each of the two generations of words that a Python worker keeps, which bounds its memory: when the
 #: newer one is full, the older one goes.
-KEPT_BYTES = 40 << 20
+KEPT_BYTES = 56 << 20
 #: Up to so many files their totals, 16 bytes each, are broadcast.
 MOST_FILES = 1_000_000
 #: Bytes of texts that are encoded at once, but at least one text.
@@ -94,8 +95,7 @@ class WordEncoder(TextEncoder):
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        self._know(words)
-        parts = [self.words[w] for w in words]
+        parts = self._known(words)
         size = np.array([len(x) for x in parts], np.int64) // 4
         flat, first = np.frombuffer(b"".join(parts), np.intc), np.cumsum(size) - size
         at = coded.indices.to_numpy(zero_copy_only=False)
@@ -104,24 +104,33 @@ class WordEncoder(TextEncoder):
         ids = flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], many)]
         return ids, ends[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
 
-    def _know(self, words: list[bytes]) -> None:
+    def _known(self, words: list[bytes]) -> list[bytes]:
         if self.size > KEPT_BYTES:
             self.before, self.words, self.size = self.words, {}, 0
-        known, old, new = self.words, self.before, []
-        for w in words:
-            if w not in known:
-                if (ids := old.get(w)) is None:
-                    new.append(w)
-                else:
-                    known[w] = ids
-                    self.size += _ENTRY
+        known, old = self.words, self.before
+        parts = list(map(known.get, words))
+        missing = [i for i, ids in enumerate(parts) if ids is None]
+        new = []
+        for i in missing:
+            w = words[i]
+            if (ids := old.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = ids
         self._learn(new)
-        self.size += _ENTRY * len(new) + sum(map(len, new))
+        for i in missing:
+            parts[i] = known[words[i]]
+        self.size += _ENTRY * len(missing) + sum(map(len, new))
+        return parts
 
     def _learn(self, new: list[bytes]) -> None:
         words, tokenize, whole, parts = self.words, self.tokenizer.model.tokenize, [], []
         for word in new:
-            if word.isalpha() and not self.in_letters:  # bytes: A-Z and a-z only
+            if word.islower() and word.isalpha() and not self.in_letters:  # bytes: a-z only
+                if word not in words:
+                    words[word] = _packed([t.id for t in tokenize(word.decode())])
+                continue
+            if word.isalpha() and not self.in_letters:
                 low = word.lower()
                 core = low.decode()
             else:
@@ -176,8 +185,11 @@ def _plain(core: str) -> str | None:
     return low.encode().decode("latin-1").translate(_WRITTEN)
 
 
+_FEW = [struct.Struct(f"{n}i").pack for n in range(16)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return array("i", ids).tobytes()
+    return _FEW[len(ids)](*ids) if len(ids) < 16 else array("i", ids).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -200,9 +212,9 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     encoding: str = "dictionary",
-    row_group_bytes: int = 16 << 20,
+    row_group_bytes: int = 8 << 20,
     page_rows: int = 2000,
-    bytes_per_file: int = 64 << 20,
+    bytes_per_file: int = 32 << 20,
 ) -> None:
     """Writes (id, n_tokens, offset, ids) in ascending id order: sorted within each file, files in order of their number.
 

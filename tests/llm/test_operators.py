@@ -190,8 +190,61 @@ def test_repeats_against_brute_force(spark, width, seed):
             x += b"ab " * rng.randint(0, 100)  # repeats itself
         docs.append((i, x))
     df = spark.createDataFrame([(i, t.decode()) for i, t in docs], "doc_id long, text string").repartition(5)
-    assert sorted((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in radix.remove_repeats(df, width).collect()) == brute_bytes(docs, width)
-    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(df, max(3, width // 7)).collect()) == brute_words(docs, max(3, width // 7))
+    for most_runs in (20_000, 2):  # with and without samples that are cut into single windows
+        got = radix.remove_repeats(df, width, most_runs=most_runs).collect()
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == brute_bytes(docs, width)
+        words = max(3, width // 7)
+        got = substrings.remove_repeats(df, words, most=40, most_runs=most_runs).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == brute_words(docs, words)
+
+
+def test_trees_and_digit_passes_find_equal_windows():
+    rng = np.random.default_rng(3)
+    for trial in range(200):
+        width = int(rng.integers(1, 12))
+        letters = [b"a", b"b", b"c"][: int(rng.integers(1, 4))]
+        held = [[letters[i] for i in rng.integers(0, len(letters), int(rng.integers(width, 40)))] for _ in range(int(rng.integers(0, 8)))]
+        counts = np.array([int(rng.integers(1, len(x) - width + 2)) for x in held], np.int64)
+        places = {}
+        for i, x in enumerate(held):
+            for j in range(counts[i]):
+                places.setdefault(tuple(x[j : j + width]), set()).add((i, j))
+        want = sorted(sorted(of) for of in places.values() if len(of) > 1)
+        for found in (radix.equal_windows([b"".join(x) for x in held], counts, width), substrings.equal_windows([b" ".join(x) for x in held], counts, width, most=5)):
+            groups = {}
+            for i, j, g in zip(*(x.tolist() for x in found), strict=True):
+                groups.setdefault(g, []).append((i, j))
+            assert sorted(map(sorted, groups.values())) == want
+
+
+def test_groups_share_their_prefix_and_are_small():
+    rng = np.random.default_rng(4)
+    words = rng.choice(4, 3000, p=[0.7, 0.1, 0.1, 0.1])
+    got = list(substrings.prefix_groups(words, np.arange(2900), 20, most=50))
+    assert sorted(i for some, _ in got for i in some.tolist()) == list(range(2900)) and max(len(some) for some, _ in got) <= 50
+    assert len({depth for _, depth in got}) > 1 and all(len(np.unique(words[some[:, None] + np.arange(depth)], axis=0)) == 1 for some, depth in got if depth)
+
+
+def test_texts_whose_polynomials_collide_stay_apart(spark):
+    word = "a"
+    for _ in range(11):  # Thue-Morse
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, f"{word} {tail}"), (2, f"{other} {tail}")], "doc_id long, text string")
+    assert [r.n_removed for r in substrings.remove_repeats(df).collect()] == [40, 40]
+    assert len(np.intersect1d(jaccard.shingles(word.encode()), jaccard.shingles(other.encode()))) == 0
+
+
+def test_documents_without_an_id_and_the_least_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(None, f"x{i} {a} y{i}" if i < 2 else f"lone{i} {b[: 20 + i]}") for i in range(6)] + [(-(1 << 63), f"{a} z"), (0, "other text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.remove_repeats(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in got) == sorted((i is None, i or 0, 50 if a in t else 0) for i, t in rows)
+    got = radix.remove_repeats(df).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [-(1 << 63), 0] and sum(r.n_removed > 0 for r in got) == 2
+    assert [r.n_removed for r in got if r.doc_id is not None and r.doc_id < 0] == [len(a) + 1]  # with the space behind it; a null id is the smallest
 
 
 def brute_links(docs, n, per_cent):
