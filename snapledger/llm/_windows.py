@@ -1,15 +1,18 @@
-"""Hashes of all windows of token rows, vectorised, and the cutting of texts into runs of windows.
+"""Hashes of tokens and windows, vectorised, and the cutting of texts into runs of windows.
 
 A window is ``width`` consecutive tokens. Its *sample* is the least hash of the grams (``gram`` tokens) that
 it holds, so equal windows have equal samples, wherever they stand. Consecutive windows with one sample make
 a *run*. Every window is in one run, and a text has only about two runs for each ``width - gram`` tokens.
+
+Samples say who may be equal, never who is: their hash is a polynomial, which some unlike texts share.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 
 _P = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
@@ -37,8 +40,28 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return _powers[name][:n]
 
 
-def byte_tokens(text: bytes) -> np.ndarray:
-    return _BYTES[np.frombuffer(text, dtype=np.uint8)]
+def byte_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each byte of a column of texts without nulls, and where each text's end."""
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return _BYTES[raw], at[1:] - at[0]
+
+
+def word_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word ``[^\\x20\\x09-\\x0D]+`` of a column of texts without nulls, and where each text's end."""
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in words], np.uint64)
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
+    if b"" in words:  # what Arrow sees before leading and behind trailing white space
+        real = at != words.index(b"")
+        ends = np.concatenate(([0], np.cumsum(real)))[ends]
+        at = at[real]
+    return hashes[at], ends
 
 
 def sums(tokens: np.ndarray) -> np.ndarray:
@@ -52,15 +75,12 @@ def spans(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((prefix[end] - prefix[begin]) * _power(_INVERSE, len(prefix))[begin])
 
 
-def word_tokens(text: bytes) -> np.ndarray:
-    """A 64-bit hash for each word ``[^\\x20\\x09-\\x0D]+`` of a text."""
-    if not text:
-        return np.zeros(0, dtype=np.uint64)
-    raw = np.frombuffer(text, dtype=np.uint8)
-    space = (raw == 0x20) | ((raw >= 9) & (raw <= 13))
-    edge = np.diff(np.concatenate(([1], space.view(np.int8), [1])))
-    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return spans(sums(_BYTES[raw]), begin, end)
+def chained(tokens: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each ``n`` consecutive tokens, mixed anew with every token."""
+    out = mix(tokens[: len(tokens) - n + 1] + np.uint64(n))
+    for i in range(1, n):
+        out = mix(out * _P + tokens[i : len(tokens) - n + 1 + i])
+    return out
 
 
 def _least(x: np.ndarray, size: int) -> np.ndarray:
@@ -78,15 +98,12 @@ def _least(x: np.ndarray, size: int) -> np.ndarray:
 
 
 def runs(tokens: np.ndarray, width: int, gram: int, most: int) -> tuple[np.ndarray, ...]:
-    """(key, class, first window, windows, repeats itself) of each run of a text, at most ``most`` windows long.
+    """(sample, first window, windows, repeats itself) of each run of a text, at most ``most`` windows long.
 
-    Runs with equal key, class and length hold the same windows in the same order. A run in which the sample
-    occurs more than once may hold one window several times, which the last array tells.
+    A run in which the sample occurs more than once may hold one window several times, which the last array
+    tells. The text has at least ``width`` tokens.
     """
     n = len(tokens) - width + 1
-    if n <= 0:
-        empty = np.zeros(0, dtype=np.uint64)
-        return empty, empty, empty.astype(np.int64), empty.astype(np.int64), empty.astype(bool)
     prefix = sums(tokens)
     at = np.arange(len(tokens) - gram + 1)
     grams = spans(prefix, at, at + gram)
@@ -102,7 +119,7 @@ def runs(tokens: np.ndarray, width: int, gram: int, most: int) -> tuple[np.ndarr
     key = sample[first]
     last = first + count - 1 + width - gram  # last gram of the run
     many = _count_equal(grams, key, first, last) > 1
-    return key, spans(prefix, first, first + count - 1 + width), first, count, many
+    return key, first, count, many
 
 
 def _count_equal(grams: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -113,5 +130,5 @@ def _count_equal(grams: np.ndarray, key: np.ndarray, first: np.ndarray, last: np
     out = np.ones(len(key), dtype=np.int64)
     for i in np.flatnonzero(hi - lo > 1):
         where = order[lo[i] : hi[i]]
-        out[i] = np.count_nonzero((where >= first[i]) & (where <= last[i]))
+        out[i] = np.searchsorted(where, last[i], "right") - np.searchsorted(where, first[i], "left")
     return out
