@@ -1,44 +1,47 @@
 """N-gram Jaccard join: exact links between sets of word shingles, found with signature trees.
 
-1. Every text becomes a set of 64-bit shingle hashes. Equal sets are one class, answered for by the least id.
+1. Every text becomes a set of 64-bit shingle hashes. Equal sets are one class, compared once.
 2. Signatures decide which sets can be similar at all. Shingles are dealt by their hash into parts, more
    than the number of shingles in which similar sets of that size can differ, so similar sets have a
    part in common that isn't empty (pigeonhole); the few sets with too many empty parts add signatures of single
    shingles by the prefix rule. Sets that share a signature are put into one cluster.
-3. In each cluster a signature tree is traversed against itself, and the pairs it can't rule out are compared
-   exactly. Clusters of too many bytes are split by size range and salt, and block meets block.
+3. In each cluster the sets that share a signature are compared: pairs that bitmaps and sizes can't rule out exactly,
+   in large groups found by traversing a signature tree against itself. Clusters of too many bytes are split by
+   size range and salt, and block meets block.
 4. Links make components.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _repeats as r
 from . import _windows as w
 from . import sigtree
-from ._util import LOWER, cells, size_in_bytes, stored
+from ._util import cells, size_in_bytes, slices, stored
 from .components import components
 
 BLOCK_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
+
+
+def shingle_sets(texts: pa.Array, n: int = 4) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its shingles of ``n`` words; of fewer words, but not none, the whole sequence."""
+    tokens, ends = w.word_tokens(pc.ascii_lower(texts.fill_null("")))
+    parts = (tokens[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False))
+    return [np.unique(w.chained(x, min(n, len(x)))) if len(x) else x for x in parts]
 
 
 def shingles(text: bytes | None, n: int = 4) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``n`` words; of fewer words, but not none, the whole sequence."""
-    tokens = w.word_tokens((text or b"").translate(LOWER))
-    if not len(tokens):
-        return tokens
-    n = min(n, len(tokens))
-    at = np.arange(len(tokens) - n + 1)
-    return np.unique(w.spans(w.sums(tokens), at, at + n))
+    return shingle_sets(pa.array([(text or b"").decode()]), n)[0]
 
 
 def differ(size: int, per_cent: int) -> int:
@@ -100,132 +103,170 @@ def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-_SETS = pa.schema([("k", pa.int64()), ("h", pa.int32()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bucket", pa.int32()), ("rows", pa.binary())])
+_SETS = pa.schema([("u", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bucket", pa.int32()), ("rows", pa.binary())])
 
 
-def _sets(df: DataFrame, n: int, per_cent: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows of two kinds: (k, h, n, s1, s2) of a document and its set; (bucket, rows), packed signatures.
+def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
+    """From (u, text) rows of two kinds: (u, n, s1, s2) of a document and its set; (bucket, rows), packed signatures.
 
-    Of equal sets in a batch only the first signs.
+    Of equal sets in a slice only the first signs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(1).compress
-        for batch in batches:
-            ids, hashes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+        for batch in slices(batches, 1, SLICE_BYTES):
+            ids = batch.column(0).to_pylist()
             info, least = [], {}
             signed: dict[tuple, np.ndarray] = {}
-            for i, text in enumerate(cells(batch.column(2))):
-                x = shingles(text, n)
-                kind = (len(x), int(x.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(w.mix(x + np.uint64(7))).astype(np.int64)) if len(x) else 0)
+            for i, x in enumerate(shingle_sets(batch.column(1), n)):
+                kind = _fingerprint(x)
                 info.append(kind)
                 if len(x):
                     if kind not in least:
                         signed[kind] = signatures(x, per_cent)
-                    least[kind] = min(least.get(kind, (ids[i], hashes[i])), (ids[i], hashes[i]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array([x[j] for x in info], pa.int64()) for j in range(3)), pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS
-            )
-            names = list(signed)
-            if not names:
+                    least[kind] = min(least.get(kind, ids[i]), ids[i])
+            of = [pa.array([x[j] for x in info], pa.int64()) for j in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *of, pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS)
+            if not signed:
                 continue
-            sizes = [len(signed[x]) for x in names]
-            sig = np.concatenate([signed[x] for x in names])
-            k = np.repeat(np.array([least[x][0] for x in names], np.int64), sizes)
-            h = np.repeat(np.array([least[x][1] for x in names], np.int32), sizes)
-            where = (sig % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((k, where))
-            at = np.searchsorted(where[order], np.arange(buckets + 1))
-            out = [(b, squeeze(pickle.dumps(tuple(c[order[at[b] : at[b + 1]]] for c in (sig, k, h)), 5))) for b in range(buckets) if at[b] < at[b + 1]]
-            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:5]]
+            sig = np.concatenate(list(signed.values()))
+            u = np.repeat(np.array([least[x] for x in signed], np.int64), [len(x) for x in signed.values()])
+            out = []
+            for b, some in r._by_bucket((sig % np.uint64(buckets)).astype(np.int64)):
+                out.append((b, r._pack((sig[some], u[some]))))
+            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:4]]
             yield pa.RecordBatch.from_arrays([*void, pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], schema=_SETS)
 
-    texts = df.select(*r.keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(run, "k long, h int, n long, s1 long, s2 long, bucket int, rows binary")
+    return rows.select("u", "text").mapInArrow(run, "u long, n long, s1 long, s2 long, bucket int, rows binary")
+
 
+def _fingerprint(x: np.ndarray) -> tuple[int, int, int]:
+    """A set's size and 128 bits that tell it from others."""
+    if not len(x):
+        return 0, 0, 0
+    return len(x), int(x.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(w.mix(x + np.uint64(7))).astype(np.int64))
 
-_EDGES = pa.schema([("k", pa.int64()), ("h", pa.int32()), ("k2", pa.int64()), ("h2", pa.int32())])
+
+_EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def _candidates(dealt: DataFrame) -> DataFrame:
     """Edges (u, v) from each document to the least that shares a signature with it, once for each bucket."""
 
     def one(table: pa.Table) -> pa.Table:
-        grow = zstandard.ZstdDecompressor().decompress
-        parts = [pickle.loads(grow(x)) for x in table.column("rows").to_pylist()]
-        sig, k, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        order = np.argsort(sig, kind="stable")
-        same = sig[order][1:] == sig[order][:-1]
-        some = order[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(order) else order
-        some = some[np.lexsort((h[some], k[some], sig[some]))]
-        sig, k, h = sig[some], k[some], h[some]
-        new = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        head = np.repeat(begin, np.diff(np.concatenate((begin, [len(sig)]))))
-        other = (k != k[head]) | (h != h[head])
-        edges = np.unique(np.stack([k[other], h[other].astype(np.int64), k[head][other], h[head][other].astype(np.int64)], axis=1), axis=0) if other.any() else np.zeros((0, 4), np.int64)
-        return pa.Table.from_arrays([pa.array(edges[:, i].astype(f.type.to_pandas_dtype())) for i, f in enumerate(_EDGES)], schema=_EDGES)
-
-    edges = dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(one, "k long, h int, k2 long, h2 int").distinct()
-    return edges.select(F.struct("k", "h").alias("u"), F.struct(F.col("k2").alias("k"), F.col("h2").alias("h")).alias("v"))
-
-
-def _links(members: DataFrame, n: int, per_cent: int, block_bytes: int) -> DataFrame:
+        parts = r._unpack(table.column("rows"))
+        sig, u = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        order = np.lexsort((u, sig))
+        sig, u = sig[order], u[order]
+        begin = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        head = np.repeat(u[begin], np.diff(np.concatenate((begin, [len(sig)]))))
+        other = u != head
+        edges = np.unique(np.stack([u[other], head[other]], axis=1), axis=0)
+        return pa.Table.from_arrays([pa.array(np.ascontiguousarray(edges[:, i])) for i in range(2)], schema=_EDGES)
+
+    return dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(one, "u long, v long").distinct()
+
+
+def _links(members: DataFrame, n: int, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
     """Edges (u, v) of the components within each cluster, from (u, cluster, size, text).
 
-    A cluster within ``block_bytes`` is one group. A larger one is split: sets of one size range (each a
-    per_cent of the next) are salted into blocks, and every two blocks of the same or neighbouring ranges
-    make a group, so that all pairs that can be similar meet, and no group is larger than two blocks.
+    Clusters within ``block_bytes`` are dealt to ``tasks`` groups and compared one by one. A larger one is split:
+    sets of one size range (each a per_cent of the next) are salted into blocks, and every two blocks of the same or
+    neighbouring ranges make a group, so that all pairs that can be similar meet, and no group is larger than two blocks.
     """
     level = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / F.lit(float(np.log(100 / per_cent)))).cast("int")
     rows = members.withColumn("level", level).withColumn("bytes", F.length("text").cast("long") * 4 + 200)
     sums = rows.groupBy("cluster", "level").agg(F.sum("bytes").alias("bytes"))
-    whole = sums.groupBy("cluster").agg(F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(F.struct("level", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("salts")))).alias("salts"))
+    salts = F.struct("level", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("salts"))
+    whole = sums.groupBy("cluster").agg(F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(salts)).alias("salts"))
     rows = rows.drop("bytes").join(whole, "cluster")
-    small = F.col("bytes") <= block_bytes
     own = F.concat_ws(".", "level", F.pmod(F.xxhash64("u"), F.element_at("salts", F.col("level"))))
-    around = F.flatten(F.transform(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1), lambda i: F.transform(F.sequence(F.lit(0), F.greatest(F.coalesce(F.try_element_at("salts", i), F.lit(0)) - 1, F.lit(0))), lambda s: F.when(F.coalesce(F.try_element_at("salts", i), F.lit(0)) > 0, F.concat_ws(".", i, s)))))
-    pairs = F.transform(F.array_compact(around), lambda x: F.concat_ws("-", F.least(x, own), F.greatest(x, own)))
-    blocks = F.when(small, F.array(F.lit(""))).otherwise(F.array_distinct(pairs))
-    grouped = rows.select("cluster", F.explode(blocks).alias("block"), F.col("u.k").alias("k"), F.col("u.h").alias("h"), "text")
+
+    def blocks(i: Column) -> Column:
+        """The names of all blocks of a level, none if it has no sets."""
+        many = F.coalesce(F.try_element_at("salts", i), F.lit(0))
+        names = F.transform(F.sequence(F.lit(0), F.greatest(many - 1, F.lit(0))), lambda s: F.concat_ws(".", i, s))
+        return F.when(many > 0, names).otherwise(F.array().cast("array<string>"))
+
+    around = F.flatten(F.transform(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1), blocks))
+    pairs = F.array_distinct(F.transform(around, lambda x: F.concat_ws("-", F.least(x, own), F.greatest(x, own))))
+    task = F.when(F.col("bytes") <= block_bytes, F.array(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).cast("string")))
+    named = F.transform(pairs, lambda x: F.concat_ws("-", F.col("cluster").cast("string"), x))
+    grouped = rows.select("cluster", F.explode(F.coalesce(task, named)).alias("task"), "u", "text")
 
     def one(table: pa.Table) -> pa.Table:
-        names = list(zip(table.column("k").to_pylist(), table.column("h").to_pylist(), strict=True))
-        grow = zstandard.ZstdDecompressor().decompress
-        order = sorted(range(len(names)), key=names.__getitem__)
-        names = [names[i] for i in order]
-        texts = table.column("text")
-        sets = [shingles(grow(texts[i].as_py()), n) for i in order]
-        head = sigtree.group(sets, per_cent)
-        edges = [(*names[i], *names[j]) for i, j in enumerate(head.tolist()) if names[i] != names[j]]
-        return pa.Table.from_arrays([pa.array([e[i] for e in edges], f.type) for i, f in enumerate(_EDGES)], schema=_EDGES)
+        order = np.lexsort((table.column("u").to_numpy(), table.column("cluster").to_numpy()))
+        table = table.select(["cluster", "u", "text"]).take(order)
+        cluster, u = table.column("cluster").to_numpy(), table.column("u").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(cluster)) + 1).tolist(), len(cluster)] if len(cluster) else [0]
+        edges = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            texts = pa.array([t.decode() for t in r.unpacked(table.column("text").slice(a, b - a).combine_chunks())], pa.large_string())
+            sets = shingle_sets(texts, n)
+            head = sigtree.group(sets, per_cent, [signatures(x, per_cent) for x in sets])
+            linked = head != np.arange(b - a)
+            edges.append((u[a:b][linked], u[a + head[linked]]))
+        columns = [np.concatenate([e[i] for e in edges]) if edges else np.zeros(0, np.int64) for i in range(2)]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_EDGES)
+
+    return grouped.groupBy("task").applyInArrow(one, "u long, v long")
+
+
+def _squeezed(rows: DataFrame) -> DataFrame:
+    """(u, text) with texts compressed, for a join that must shuffle them."""
+    schema = pa.schema([("u", pa.int64()), ("text", pa.binary())])
 
-    edges = grouped.groupBy("cluster", "block").applyInArrow(one, "k long, h int, k2 long, h2 int")
-    return edges.select(F.struct("k", "h").alias("u"), F.struct(F.col("k2").alias("k"), F.col("h2").alias("h")).alias("v"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(3).compress
+        for batch in slices(batches, 1, SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([squeeze(t or b"") for t in cells(batch.column(1))], pa.binary())], schema=schema)
+
+    return rows.select("u", "text").mapInArrow(run, "u long, text binary")
 
 
-def linked(df: DataFrame, n: int = 4, per_cent: int = 85, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``df``: id, n_shingles, component_id, and ``kept``: whether it answers for its component.
+def linked(
+    df: DataFrame,
+    n: int = 4,
+    per_cent: int = 85,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_col: str | None = None,
+    bucket_bytes: int = 8 << 20,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """One row per row of ``df``: id, n_shingles, component_id, ``kept`` (whether it answers for its component) and ``row``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct shingles of ``n`` words, or
     the whole sequence where there are fewer. Two rows are linked when 100 * overlap >= per_cent * union.
     component_id is the least id within reach, itself included. Null or empty texts have an empty set and
-    are linked with nothing. A null id counts as the smallest and comes out as null; rows that share an id
-    but not the text are different documents; of repeated rows each gets an answer and they share ``kept``.
-    Other columns aren't read. An empty table gives no rows.
+    are linked with nothing. Ids are whole numbers or null; a null id counts as the smallest and comes out as null. Every
+    row is a document of its own: repeated rows are linked as equal texts are, and one of them is kept. Other
+    columns aren't read. An empty table gives no rows.
+
+    ``row`` numbers the rows. ``row_col`` may name a column that does so already, if ``df`` is a stored table whose
+    rows come out the same each time; else numbers are given here, and the rows are written to the shared folder.
     """
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    rows = df.select(number.cast("long").alias("u"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(8, size_in_bytes(df.select(id_col, text_col)) // bucket_bytes)
-    sets = stored(_sets(df, n, per_cent, buckets, id_col, text_col), "sets")
-    info = sets.where("bucket IS NULL").select(F.struct("k", "h").alias("u"), "n", "s1", "s2")
-    classes = info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.count("*").alias("rows"))
+    if row_col is None:
+        rows = stored(rows, "rows")
+    sets = stored(_sets(rows, n, per_cent, buckets), "sets")
+    least = F.struct(F.col("id").isNotNull().cast("int").alias("has"), "id", "u")
+    info = sets.where("bucket IS NULL").select("u", "n", "s1", "s2").join(rows.select("u", "id"), "u")
+    classes = stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.min(least).alias("least")), "classes")
     clusters = components(_candidates(sets.where("bucket IS NOT NULL")))
     clusters = clusters.unionByName(clusters.select(F.col("root").alias("u"), "root").distinct())
-    reps = classes.select(F.col("rep").alias("u"), F.col("n").alias("size"))
-    members = clusters.join(reps, "u").select("u", F.col("root").alias("cluster"), "size")
-    texts = r.packed(df, id_col, text_col).select(F.struct("k", "h").alias("u"), "text")
-    once = members.join(texts, "u").dropDuplicates(["u"])
-    same = components(_links(once, n, per_cent, block_bytes)).select(F.col("u").alias("rep"), "root")
-    roots = classes.join(same, "rep", "left").select("n", "s1", "s2", "rep", F.coalesce("root", "rep").alias("root"))
-    out = info.join(roots, ["n", "s1", "s2"], "left").withColumn("root", F.coalesce("root", "u"))
-    number = lambda c: F.nullif(F.col(c), F.lit(r.NO_ID))
-    return out.select(number("u.k").alias(id_col), F.col("n").alias("n_shingles"), number("root.k").alias("component_id"), (F.col("u") == F.col("root")).alias("kept"), F.col("u.h").alias("text_hash"))
+    members = clusters.join(classes.select(F.col("rep").alias("u"), F.col("n").alias("size")), "u").select("u", F.col("root").alias("cluster"), "size")
+    texts = members.join(_squeezed(rows), "u")
+    same = components(_links(texts, n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
+    rooted = classes.join(same, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    answers = rooted.join(first, "root").select("n", "s1", "s2", "first")
+    out = info.join(answers, ["n", "s1", "s2"], "left").withColumn("first", F.coalesce("first", least))
+    return out.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.col("first.id").alias("component_id"),
+        (F.col("u") == F.col("first.u")).alias("kept"),
+        F.col("u").alias("row"),
+    )

@@ -29,7 +29,7 @@ def table(spark, rows, parts=3):
 
 
 OPERATORS = {
-    "substrings": substrings.remove_repeats, "radix": radix.remove_repeats, "quality": quality.judge, "bpe": lambda d: bpe.round_trip(d, RANKS, P.PATTERN), "jaccard": jaccard.linked,
+    "substrings": substrings.remove_repeats, "radix": radix.remove_repeats, "quality": quality.judge, "bpe": lambda d: bpe.round_trip(d, RANKS, P.PATTERN), "jaccard": lambda d: jaccard.linked(d).drop("kept", "row"),
     "licenses": lambda d: licenses.digest(licenses.scan(d)), "decontam": lambda d: decontam.digest(decontam.contamination(d, d.selectExpr("doc_id AS item_id", "'seven eight nine ten' AS text").limit(1))), "pii": lambda d: pii.replace(d, "key"),
 }
 
@@ -283,6 +283,13 @@ def test_jaccard_against_brute_force(spark, block_bytes):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.linked(df, block_bytes=block_bytes).collect()) == brute_links(docs, 4, 85)
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    got = jaccard.linked(table(spark, EDGES)).collect()
+    assert len({r.row for r in got}) == len(got)
+    kept = sorted((r.component_id is None, r.component_id or 0, r.doc_id or 0) for r in got if r.kept)
+    assert kept == [(False, 1, 1), (False, 2, 2), (False, 3, 3), (False, 3, 3), (False, 4, 4), (True, 0, 0), (True, 0, 0)]
+
+
 def test_signatures_lose_no_similar_pair():
     rng = np.random.default_rng(1)
     draw = lambda n: rng.integers(1, 1 << 62, n, dtype=np.int64).astype(np.uint64)
