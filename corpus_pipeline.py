@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.llm import bpe, decontam, jaccard, pii, quality
-from snapledger.llm._repeats import keys
 from snapledger.llm._util import stored, table
 from snapledger.llm.queries import KEY, PATTERN, RANKS
 
@@ -24,16 +23,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by word 5-grams at a similarity of 0.8: the least id.
 
-    Of rows with the same id and text one stays; which one, if other columns differ, is left open. Texts without
-    words are linked with nothing and all stay. The answers are one row for each document left out, so
-    the texts are shuffled once.
+    Rows are numbered and written first. Of rows with the same id and text one stays; which one, if other
+    columns differ, is left open. Texts without words are linked with nothing and all stay. Only the
+    numbers of the rows that are left out go through the join.
     """
-    out = jaccard.linked(docs, n=5, per_cent=80).where("NOT kept").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.col("text_hash").alias("h")).distinct()
-    row = docs.select(F.struct(*docs.columns).alias("row"), *keys("doc_id", "text"))
-    left = row.join(out, ["k", "h"], "left_anti")
-    some = left.where(F.col("row.text").rlike(r"[^\x20\x09-\x0D]")).dropDuplicates(["k", "h"])
-    none = left.where(~F.coalesce(F.col("row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return some.unionByName(none).select("row.*")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("u"), F.struct(*docs.columns).alias("row")), "numbered")
+    texts = rows.select("u", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    out = jaccard.linked(texts, n=5, per_cent=80, row_col="u").where("NOT kept").select(F.col("row").alias("u"))
+    return rows.join(out, "u", "left_anti").select("row.*")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
