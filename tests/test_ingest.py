@@ -1,9 +1,13 @@
+import hashlib
 import json
+import random
 import zipfile
 
 import pytest
 
-from snapledger.functions.canonical import canonical_json, content_hash
+from pyspark.sql import functions as F
+
+from snapledger.functions.canonical import canonical_json, content_hash, normalize_float
 from snapledger.operators import ingest as ing
 from snapledger.operators import validate
 from snapledger.plans import models
@@ -54,6 +58,21 @@ def test_golden_digests(spark):
     assert two.select(canonical_json(two, exclude=["nested"])).first()[0] == '{"id":"X-1","items":[1,null,3]}'
 
 
+def test_hashes_equal_pythons(spark):
+    floats = [0.0, -0.0, 1.0, 0.1, 100.0, 123456.789, 9999999.0, 1e7, 12345678.5, 1e15, 123456789012345.6, 1e16, 1.5e16, 1.2345678901234567e17, 1e22, 1e100, 0.001, 0.0001, 0.00012345678901234567, 1e-5, 1.5e-7, 5e-324, -2.5e-8, 1.7976931348623157e308]
+    texts = ["plain", 'quote " and \\ backslash', "tab\tline\nreturn\r\b\f", "ctl \x00\x01\x0b\x0e\x0f\x10\x1a\x1f\x1f end", "literal \\u001F and \\\\u001F", "\\\x1f", "é — 日本 \U0001f600 \x7f \u2028", "</a>"]
+    for values, kind in ((floats, "double"), (texts, "string")):
+        rows = [(i, v, [v, None], (v, None)) for i, v in enumerate(values)]
+        df = spark.createDataFrame(rows, f"i int, v {kind}, items array<{kind}>, nested struct<b:{kind},a:string>")
+        for r in df.select("*", canonical_json(df).alias("text"), content_hash(df).alias("digest")).collect():
+            want = json.dumps({"i": r.i, "v": r.v, "items": r["items"], "nested": {"b": r.v}}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            assert r.text == want and r.digest == hashlib.sha256(want.encode()).hexdigest()
+    rng = random.Random(2)
+    odd = [0.5e-6, 1.5e-6, 2.5e-6, 0.1234565, 3.0, 1e-9, 2.675, 123456.7890125] + [k / 2e6 for k in range(1, 400, 2)] + [rng.uniform(-1e6, 1e6) for _ in range(200)]
+    got = spark.createDataFrame([(x,) for x in odd + [-x for x in odd]], "x double").select("x", normalize_float(F.col("x")).alias("y")).collect()
+    assert [(r.x, r.y) for r in got if r.y != round(r.x, 6)] == []
+
+
 def test_ingest_is_idempotent_and_keeps_books(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     batch = [CPSC | {"RecallNumber": f"24-{i:03}", "RecallID": i} for i in range(21)] + [CPSC | {"RecallID": "bad"}]
