@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import unicodedata
 import zlib
@@ -22,13 +21,13 @@ from ._util import cells, size_in_bytes, slices
 
 #: Bytes of each of the two generations of words that a Python worker keeps, which bounds its memory: when the
 #: newer one is full, the older one goes.
-KEPT_BYTES = 56 << 20
+KEPT_BYTES = 64 << 20
 #: Up to so many files their totals, 16 bytes each, are broadcast.
 MOST_FILES = 1_000_000
 #: Bytes of texts that are encoded at once, but at least one text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 _ENTRY = 200  # bytes that a kept word takes besides its own and its ids'
-_EDGE = ".,;:!?#*$%&|<>()\""
+_EDGE = b".,;:!?#*$%&|<>()\""
 
 # The normaliser and pre-tokeniser for which words can be encoded one by one.
 NORMALIZER = {
@@ -72,10 +71,11 @@ class WordEncoder(TextEncoder):
     def __init__(self, tokenizer):
         super().__init__(tokenizer)
         vocab = tokenizer.get_vocab()
-        self.ends = frozenset(i for token, i in vocab.items() if token.endswith("</w>"))
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
-        # in any case, as tokens may be sought in normalised text: a word too many only costs time
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.IGNORECASE)
+        #: A character other than a letter of each added token: a word without any of them holds no added token.
+        self.marks = sorted({next(c for c in t if not c.isalpha()).encode() for t in added if not t.isalpha()})
         self.in_letters = any(t.isalpha() for t in added)
         self.words: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
@@ -96,13 +96,14 @@ class WordEncoder(TextEncoder):
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.large_binary()).to_pylist()
         parts = self._known(words)
-        size = np.array([len(x) for x in parts], np.int64) // 4
-        flat, first = np.frombuffer(b"".join(parts), np.intc), np.cumsum(size) - size
+        size = np.array([len(x) for x in parts], np.int32) // 4
+        flat, first = np.frombuffer(b"".join(parts), np.intc), np.cumsum(size, dtype=np.int32) - size
         at = coded.indices.to_numpy(zero_copy_only=False)
         many = size[at]
-        ends = np.concatenate(([0], np.cumsum(many)))
-        ids = flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], many)]
-        return ids, ends[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        ends = np.concatenate(([0], np.cumsum(many, dtype=np.int64)))
+        place = np.arange(ends[-1], dtype=np.int32)
+        place += np.repeat(first[at] - ends[:-1].astype(np.int32), many)
+        return flat[place], ends[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
 
     def _known(self, words: list[bytes]) -> list[bytes]:
         if self.size > KEPT_BYTES:
@@ -124,26 +125,36 @@ class WordEncoder(TextEncoder):
         return parts
 
     def _learn(self, new: list[bytes]) -> None:
-        words, tokenize, whole, parts = self.words, self.tokenizer.model.tokenize, [], []
+        words, tokenize, marks, whole, parts = self.words, self.tokenizer.model.tokenize, self.marks, [], []
+        if self.in_letters:  # any word may hold an added token
+            whole, new = new, []
         for word in new:
-            if word.islower() and word.isalpha() and not self.in_letters:  # bytes: a-z only
-                if word not in words:
-                    words[word] = _packed([t.id for t in tokenize(word.decode())])
+            if word.isalpha():  # of bytes: A-Z and a-z only
+                low = word if word.islower() else word.lower()
+                ids = words.get(low)
+                if ids is None:
+                    ids = words[low] = _packed([t.id for t in tokenize(low.decode())])
+                words[word] = ids
                 continue
-            if word.isalpha() and not self.in_letters:
-                low = word.lower()
+            bare = word.strip(_EDGE)
+            if bare.isalpha():
+                low = bare.lower()
                 core = low.decode()
             else:
-                text = word.decode()
-                bare = text.strip(_EDGE)
-                low = bare.lower().encode()
-                core = _plain(bare) if bare.isalpha() else None
-                if not core or self.added.search(text):
+                text = bare.decode()
+                low = _lowered(text) if text.isalpha() else None
+                if low is None:
                     whole.append(word)
                     continue
-                if bare != text:
-                    at = text.index(bare)
-                    parts.append((word, text[:at].encode(), low, text[at + len(bare) :].encode()))
+                core = low.decode("latin-1").translate(_WRITTEN)
+            if len(bare) < len(word):
+                for mark in marks:
+                    if mark in word:
+                        whole.append(word)
+                        break
+                else:
+                    at = word.index(bare)
+                    parts.append((word, word[:at], low, word[at + len(bare) :]))
             ids = words.get(low)
             if ids is None:
                 ids = words[low] = _packed([t.id for t in tokenize(core)])
@@ -155,36 +166,33 @@ class WordEncoder(TextEncoder):
         for word in whole:
             words[word] = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
 
-    def _edges(self, edges: list[bytes]) -> None:
-        """Encodes the marks about words in one call, and tells them apart by the ids that end a pre-token."""
-        for at in range(0, len(edges), 512):
-            some = edges[at : at + 512]
-            ids = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
-            ends = [i + 1 for i, x in enumerate(ids) if x in self.ends]
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                self.words.update((edge, _packed(ids[a:b])) for edge, a, b in zip(some, [0, *ends], ends, strict=False))
-            else:  # some edge isn't one pre-token after normalisation
-                self.words.update((edge, _packed(self.tokenizer.encode(edge.decode(), add_special_tokens=False).ids)) for edge in some)
+    def _edges(self, some: list[bytes]) -> None:
+        """Encodes marks, of one pre-token each, in few calls, and tells them apart by the ids that end a pre-token."""
+        for at in range(0, len(some), 512):
+            part = some[at : at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.intc)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                self.words.update((x, ids[a:b].tobytes()) for x, a, b in zip(part, [0, *ends], ends, strict=False))
+            else:  # some aren't one pre-token after normalisation
+                self.words.update((x, _packed(self.tokenizer.encode(x.decode(), add_special_tokens=False).ids)) for x in part)
 
 
-#: How byte-level pre-tokenisation writes bytes: printable ones as they are in Latin-1, the others from U+0100 on.
-_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
-
-
-def _plain(core: str) -> str | None:
-    """A word of Latin letters as the model sees it: composed, lower case, in the byte alphabet; None for other words.
+def _lowered(core: str) -> bytes | None:
+    """A word of Latin letters as the normaliser leaves it: composed and lower case; None for other words.
 
     Only letters whose lower case is one letter, so that the word stays one pre-token.
     """
-    if core.isascii():
-        return core.lower()
     low = core.lower()
     if max(core) > "\u017f" or len(low) != len(core) or not unicodedata.is_normalized("NFC", core):
         return None
-    return low.encode().decode("latin-1").translate(_WRITTEN)
+    return low.encode()
 
 
+#: How byte-level pre-tokenisation writes bytes: printable ones as they are in Latin-1, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
 _FEW = [struct.Struct(f"{n}i").pack for n in range(16)]
 
 
@@ -214,7 +222,7 @@ def write_token_files(
     encoding: str = "dictionary",
     row_group_bytes: int = 8 << 20,
     page_rows: int = 2000,
-    bytes_per_file: int = 32 << 20,
+    bytes_per_file: int = 16 << 20,
 ) -> None:
     """Writes (id, n_tokens, offset, ids) in ascending id order: sorted within each file, files in order of their number.
 

@@ -118,7 +118,7 @@ def test_files_have_the_encodings_and_page_indexes_asked_for(spark, encoding):
     rng = random.Random(5)
     rows = [(i, " ".join(f"w{rng.randrange(30_000)}" for _ in range(60))) for i in range(6000)]
     path = fresh_path(spark, "layout")
-    tokenfiles.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, WORDS, encoding=encoding, row_group_bytes=1 << 18, page_rows=100)
+    tokenfiles.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, WORDS, encoding=encoding, row_group_bytes=1 << 16, page_rows=100)
     files = sorted(glob.glob(f"{path.removeprefix('file://')}/*.parquet"))
     assert len(files) >= 4
     last = -1
