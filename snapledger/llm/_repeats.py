@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _windows as w
-from ._util import cells, size_in_bytes, slices, stored
+from ._util import cells, forget, size_in_bytes, slices, stored
 
 #: Hot samples that are told to all tasks, the most frequent ones: 16 MB at most. What is hot beyond them is still
 #: right, but meets in one task for each sample.
@@ -413,7 +413,9 @@ def repeated(df: DataFrame, of: Windows, id_col: str = "doc_id", text_col: str =
         yield from _held(of, buckets, hot.value)(batches)
 
     two = _compared(rows.mapInArrow(held, _DEALT_DDL), of, buckets)
-    return stored(_per_document(two, _merged), "spans")
+    spans = stored(_per_document(two, _merged), "spans")
+    forget(one)
+    return spans
 
 
 def with_spans(df: DataFrame, of: Windows, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import work_dir
+
 #: The bytes that separate words where a word is ``[^\x20\x09-\x0D]+``; the same set as bytes.split().
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -55,14 +56,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only in local mode without it."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="snapledger-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    """The folder that driver and executors share: spark.checkpoint.dir, else one in the warehouse."""
+    return work_dir(spark)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -74,14 +69,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a folder made by fresh_path()."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+def forget(*tables: DataFrame) -> None:
+    """Deletes what stored() wrote; only for tables that no plan reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def size_in_bytes(df: DataFrame) -> int:

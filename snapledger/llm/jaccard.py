@@ -30,7 +30,9 @@ from ._util import cells, size_in_bytes, slices, stored
 from .components import components
 
 BLOCK_BYTES = 16 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
+#: Bytes that a set takes in a task for each of its elements: text, hashes, bits and signatures.
+SET_BYTES = 32
 
 
 def shingle_sets(texts: pa.Array, n: int = 4) -> list[np.ndarray]:
@@ -103,21 +105,22 @@ def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-_SETS = pa.schema([("u", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bucket", pa.int32()), ("rows", pa.binary())])
+_SETS = pa.schema([("u", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bucket", pa.int32()), ("rows", pa.binary())])
 
 
 def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
-    """From (u, text) rows of two kinds: (u, n, s1, s2) of a document and its set; (bucket, rows), packed signatures.
+    """From (u, id, text) rows of two kinds: (u, id, n, s1, s2) of a document and its set; (bucket, rows), packed signatures.
 
-    Of equal sets in a slice only the first signs.
+    Of equal sets in a slice only the first signs. A bucket holds 40 bits of each signature beyond those that name the
+    bucket, and about as many signatures at any size of the input; a chance match costs a comparison and no more.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, SLICE_BYTES):
+        for batch in slices(batches, 2, SLICE_BYTES):
             ids = batch.column(0).to_pylist()
             info, least = [], {}
             signed: dict[tuple, np.ndarray] = {}
-            for i, x in enumerate(shingle_sets(batch.column(1), n)):
+            for i, x in enumerate(shingle_sets(batch.column(2), n)):
                 kind = _fingerprint(x)
                 info.append(kind)
                 if len(x):
@@ -125,18 +128,21 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
                         signed[kind] = signatures(x, per_cent)
                     least[kind] = min(least.get(kind, ids[i]), ids[i])
             of = [pa.array([x[j] for x in info], pa.int64()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *of, pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *of, pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS)
             if not signed:
                 continue
             sig = np.concatenate(list(signed.values()))
             u = np.repeat(np.array([least[x] for x in signed], np.int64), [len(x) for x in signed.values()])
+            rest = sig // np.uint64(buckets)
+            low, high = rest.astype(np.uint32), (rest >> np.uint64(32)).astype(np.uint8)
             out = []
             for b, some in r._by_bucket((sig % np.uint64(buckets)).astype(np.int64)):
-                out.append((b, r._pack((sig[some], u[some]))))
-            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:4]]
+                first = np.flatnonzero(np.concatenate(([True], np.diff(u[some]) != 0)))
+                out.append((b, r._pack((low[some], high[some], u[some][first], np.diff(np.append(first, len(some))).astype(np.int32)))))
+            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:5]]
             yield pa.RecordBatch.from_arrays([*void, pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], schema=_SETS)
 
-    return rows.select("u", "text").mapInArrow(run, "u long, n long, s1 long, s2 long, bucket int, rows binary")
+    return rows.select("u", "id", "text").mapInArrow(run, "u long, id long, n long, s1 long, s2 long, bucket int, rows binary")
 
 
 def _fingerprint(x: np.ndarray) -> tuple[int, int, int]:
@@ -154,7 +160,8 @@ def _candidates(dealt: DataFrame) -> DataFrame:
 
     def one(table: pa.Table) -> pa.Table:
         parts = r._unpack(table.column("rows"))
-        sig, u = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        sig = np.concatenate([p[0] for p in parts]) | (np.concatenate([p[1] for p in parts]).astype(np.uint64) << np.uint64(32))
+        u = np.repeat(np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
         order = np.lexsort((u, sig))
         sig, u = sig[order], u[order]
         begin = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
@@ -166,19 +173,19 @@ def _candidates(dealt: DataFrame) -> DataFrame:
     return dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(one, "u long, v long").distinct()
 
 
-def _links(members: DataFrame, n: int, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
-    """Edges (u, v) of the components within each cluster, from (u, cluster, size, text).
+def _tasks(members: DataFrame, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
+    """(u, cluster, tasks) from (u, cluster, size): the names of the groups in which each set is compared.
 
     Clusters within ``block_bytes`` are dealt to ``tasks`` groups and compared one by one. A larger one is split:
     sets of one size range (each a per_cent of the next) are salted into blocks, and every two blocks of the same or
     neighbouring ranges make a group, so that all pairs that can be similar meet, and no group is larger than two blocks.
     """
     level = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / F.lit(float(np.log(100 / per_cent)))).cast("int")
-    rows = members.withColumn("level", level).withColumn("bytes", F.length("text").cast("long") * 4 + 200)
-    sums = rows.groupBy("cluster", "level").agg(F.sum("bytes").alias("bytes"))
+    rows = members.withColumn("level", level)
+    sums = rows.groupBy("cluster", "level").agg(F.sum(F.col("size") * SET_BYTES + 500).alias("bytes"))
     salts = F.struct("level", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("salts"))
-    whole = sums.groupBy("cluster").agg(F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(salts)).alias("salts"))
-    rows = rows.drop("bytes").join(whole, "cluster")
+    whole = stored(sums.groupBy("cluster").agg(F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(salts)).alias("salts")), "cluster-sizes")
+    rows = rows.join(whole, "cluster")
     own = F.concat_ws(".", "level", F.pmod(F.xxhash64("u"), F.element_at("salts", F.col("level"))))
 
     def blocks(i: Column) -> Column:
@@ -191,7 +198,13 @@ def _links(members: DataFrame, n: int, per_cent: int, block_bytes: int, tasks: i
     pairs = F.array_distinct(F.transform(around, lambda x: F.concat_ws("-", F.least(x, own), F.greatest(x, own))))
     task = F.when(F.col("bytes") <= block_bytes, F.array(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).cast("string")))
     named = F.transform(pairs, lambda x: F.concat_ws("-", F.col("cluster").cast("string"), x))
-    grouped = rows.select("cluster", F.explode(F.coalesce(task, named)).alias("task"), "u", "text")
+    return rows.select("u", "cluster", F.coalesce(task, named).alias("tasks"))
+
+
+def _links(members: DataFrame, texts: DataFrame, n: int, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
+    """Edges (u, v) of the components within each cluster, from (u, cluster, size) and (u, text). Texts are fetched by number, never by cluster."""
+    planned = _tasks(members, per_cent, block_bytes, tasks).join(texts, "u")
+    grouped = planned.select("cluster", F.explode("tasks").alias("task"), "u", "text")
 
     def one(table: pa.Table) -> pa.Table:
         order = np.lexsort((table.column("u").to_numpy(), table.column("cluster").to_numpy()))
@@ -252,13 +265,12 @@ def linked(
         rows = stored(rows, "rows")
     sets = stored(_sets(rows, n, per_cent, buckets), "sets")
     least = F.struct(F.col("id").isNotNull().cast("int").alias("has"), "id", "u")
-    info = sets.where("bucket IS NULL").select("u", "n", "s1", "s2").join(rows.select("u", "id"), "u")
+    info = sets.where("bucket IS NULL").select("u", "id", "n", "s1", "s2")
     classes = stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.min(least).alias("least")), "classes")
     clusters = components(_candidates(sets.where("bucket IS NOT NULL")))
     clusters = clusters.unionByName(clusters.select(F.col("root").alias("u"), "root").distinct())
     members = clusters.join(classes.select(F.col("rep").alias("u"), F.col("n").alias("size")), "u").select("u", F.col("root").alias("cluster"), "size")
-    texts = members.join(_squeezed(rows), "u")
-    same = components(_links(texts, n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
+    same = components(_links(members, _squeezed(rows), n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
     rooted = classes.join(same, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     answers = rooted.join(first, "root").select("n", "s1", "s2", "first")
