@@ -29,7 +29,7 @@ from . import sigtree
 from ._util import cells, size_in_bytes, slices, stored
 from .components import components
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 48 << 20
 SLICE_BYTES = 4 << 20
 #: Bytes that a set takes in a task for each of its elements: text, hashes, bits and signatures.
 SET_BYTES = 32
@@ -133,12 +133,14 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
                 continue
             sig = np.concatenate(list(signed.values()))
             u = np.repeat(np.array([least[x] for x in signed], np.int64), [len(x) for x in signed.values()])
+            level = np.repeat(np.array([_level(x[0], per_cent) for x in signed], np.int16), [len(x) for x in signed.values()])
             rest = sig // np.uint64(buckets)
             low, high = rest.astype(np.uint32), (rest >> np.uint64(32)).astype(np.uint8)
             out = []
             for b, some in r._by_bucket((sig % np.uint64(buckets)).astype(np.int64)):
                 first = np.flatnonzero(np.concatenate(([True], np.diff(u[some]) != 0)))
-                out.append((b, r._pack((low[some], high[some], u[some][first], np.diff(np.append(first, len(some))).astype(np.int32)))))
+                runs = np.diff(np.append(first, len(some))).astype(np.int32)
+                out.append((b, r._pack((low[some], high[some], u[some][first], level[some][first], runs))))
             void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:5]]
             yield pa.RecordBatch.from_arrays([*void, pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], schema=_SETS)
 
@@ -155,16 +157,33 @@ def _fingerprint(x: np.ndarray) -> tuple[int, int, int]:
 _EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
+def _level(size: int, per_cent: int) -> int:
+    """Sets are as large as a per_cent of the next level's or more, so similar ones are on one level or on neighbouring ones."""
+    return int(np.log(max(1, size)) / np.log(100 / per_cent) + 1e-9)
+
+
 def _candidates(dealt: DataFrame) -> DataFrame:
-    """Edges (u, v) from each document to the least that shares a signature with it, once for each bucket."""
+    """Distinct edges (u, v) from each document to the least that shares a signature with it and is about as large.
+
+    A set joins the group of its signature and level, and that of its signature and the next level. All who are in one
+    group have an edge to its least, who is the least of its class too, as that one signs the same. So similar sets have an
+    edge to the same one, or one to the other.
+    """
 
     def one(table: pa.Table) -> pa.Table:
         parts = r._unpack(table.column("rows"))
         sig = np.concatenate([p[0] for p in parts]) | (np.concatenate([p[1] for p in parts]).astype(np.uint64) << np.uint64(32))
-        u = np.repeat(np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]))
+        runs = np.concatenate([p[4] for p in parts])
+        u, level = (np.repeat(np.concatenate([p[i] for p in parts]), runs) for i in (2, 3))
         order = np.lexsort((u, sig))
-        sig, u = sig[order], u[order]
-        begin = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        sig, u, level = sig[order], u[order], level[order]
+        same = sig[1:] == sig[:-1]
+        shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        sig, u, level = sig[shared], u[shared], level[shared]
+        sig, u, level = np.concatenate((sig, sig)), np.concatenate((u, u)), np.concatenate((level, level + 1))
+        order = np.lexsort((u, level, sig))
+        sig, u, level = sig[order], u[order], level[order]
+        begin = np.flatnonzero(np.concatenate(([True], (sig[1:] != sig[:-1]) | (level[1:] != level[:-1])))) if len(sig) else np.zeros(0, np.int64)
         head = np.repeat(u[begin], np.diff(np.concatenate((begin, [len(sig)]))))
         other = u != head
         edges = np.unique(np.stack([u[other], head[other]], axis=1), axis=0)
@@ -267,9 +286,10 @@ def linked(
     least = F.struct(F.col("id").isNotNull().cast("int").alias("has"), "id", "u")
     info = sets.where("bucket IS NULL").select("u", "id", "n", "s1", "s2")
     classes = stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.min(least).alias("least")), "classes")
-    clusters = components(_candidates(sets.where("bucket IS NOT NULL")))
-    clusters = clusters.unionByName(clusters.select(F.col("root").alias("u"), "root").distinct())
-    members = clusters.join(classes.select(F.col("rep").alias("u"), F.col("n").alias("size")), "u").select("u", F.col("root").alias("cluster"), "size")
+    reps = classes.select(F.col("rep").alias("u"), F.col("n").alias("size"))
+    stars = stored(_candidates(sets.where("bucket IS NOT NULL")).join(reps, "u").select("u", F.col("v").alias("cluster"), "size"), "stars")
+    heads = stars.select(F.col("cluster").alias("u")).distinct().join(reps, "u").select("u", F.col("u").alias("cluster"), "size")
+    members = stars.unionByName(heads)
     same = components(_links(members, _squeezed(rows), n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
     rooted = classes.join(same, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
