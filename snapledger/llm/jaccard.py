@@ -5,10 +5,11 @@
    than the number of shingles in which similar sets of that size can differ, so similar sets have a
    part in common that isn't empty (pigeonhole); the few sets with too many empty parts add signatures of single
    shingles by the prefix rule. Sets that share a signature are put into one cluster.
-3. In each cluster the sets that share a signature are compared: pairs that bitmaps and sizes can't rule out exactly,
+3. A cluster falls apart where sizes and sketches, counts of elements by ranges of hashes, rule links out.
+4. In each cluster the sets that share a signature are compared: pairs that bitmaps and sizes can't rule out exactly,
    in large groups found by traversing a signature tree against itself. Clusters of too many bytes are split by
    size range and salt, and block meets block.
-4. Links make components.
+5. Links make components.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from .components import components
 
 BLOCK_BYTES = 48 << 20
 SLICE_BYTES = 4 << 20
+#: Stars of so many sets aren't compared by sketches in one task but go to blocks at once.
+MOST_STAR = 20_000
 #: Bytes that a set takes in a task for each of its elements: text, hashes, bits and signatures.
 SET_BYTES = 32
 
@@ -105,7 +108,17 @@ def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-_SETS = pa.schema([("u", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bucket", pa.int32()), ("rows", pa.binary())])
+_SETS = pa.schema([("u", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.binary()), ("bucket", pa.int32()), ("rows", pa.binary())])
+_SETS_DDL = "u long, id long, n long, s1 long, s2 long, sketch binary, bucket int, rows binary"
+
+
+def sketch(x: np.ndarray) -> np.ndarray:
+    """How many elements of a set fall into each of equal ranges of hashes, 64 ranges or more for larger sets.
+
+    Two sets differ in at least as many elements as their sketches do in counts.
+    """
+    bits = 6 if len(x) < 1024 else 8 if len(x) < 16384 else 10
+    return np.minimum(np.bincount((w.mix(x) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 65535).astype(np.uint16)
 
 
 def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
@@ -118,16 +131,17 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, SLICE_BYTES):
             ids = batch.column(0).to_pylist()
-            info, least = [], {}
+            info, least, sketches = [], {}, []
             signed: dict[tuple, np.ndarray] = {}
             for i, x in enumerate(shingle_sets(batch.column(2), n)):
                 kind = _fingerprint(x)
                 info.append(kind)
+                sketches.append(sketch(x).tobytes() if len(x) else None)
                 if len(x):
                     if kind not in least:
                         signed[kind] = signatures(x, per_cent)
                     least[kind] = min(least.get(kind, ids[i]), ids[i])
-            of = [pa.array([x[j] for x in info], pa.int64()) for j in range(3)]
+            of = [*(pa.array([x[j] for x in info], pa.int64()) for j in range(3)), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *of, pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS)
             if not signed:
                 continue
@@ -141,10 +155,10 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
                 first = np.flatnonzero(np.concatenate(([True], np.diff(u[some]) != 0)))
                 runs = np.diff(np.append(first, len(some))).astype(np.int32)
                 out.append((b, r._pack((low[some], high[some], u[some][first], level[some][first], runs))))
-            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:5]]
+            void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:6]]
             yield pa.RecordBatch.from_arrays([*void, pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], schema=_SETS)
 
-    return rows.select("u", "id", "text").mapInArrow(run, "u long, id long, n long, s1 long, s2 long, bucket int, rows binary")
+    return rows.select("u", "id", "text").mapInArrow(run, _SETS_DDL)
 
 
 def _fingerprint(x: np.ndarray) -> tuple[int, int, int]:
@@ -192,6 +206,59 @@ def _candidates(dealt: DataFrame) -> DataFrame:
     return dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(one, "u long, v long").distinct()
 
 
+def _close(sizes: np.ndarray, sketches: list[bytes], per_cent: int) -> np.ndarray:
+    """Of each set the number of the first one that it's joined with by a chain of pairs whose sizes and sketches allow a link.
+
+    All are compared with the first one, and those that can't be linked with it with all.
+    """
+    n = len(sizes)
+    rows = [np.frombuffer(x, np.uint16).astype(np.int32) for x in sketches]
+    width = min(map(len, rows))
+    table = np.stack([x.reshape(width, -1).sum(axis=1) for x in rows])
+
+    def near(i: int) -> np.ndarray:
+        differ = np.abs(table - table[i]).sum(axis=1)
+        both = (sizes + sizes[i] - differ) // 2  # the overlap at most
+        return 100 * both >= per_cent * (sizes + sizes[i] - both)
+
+    label = np.where(near(0), 0, np.arange(n))
+    for i in np.flatnonzero(label != 0).tolist():
+        close = near(i)
+        close[i] = True
+        joined = np.unique(label[close])
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+    return label
+
+
+_MEMBERS = pa.schema([("u", pa.int64()), ("cluster", pa.int64()), ("size", pa.int64())])
+
+
+def _likely(stars: DataFrame, per_cent: int, tasks: int) -> DataFrame:
+    """(u, cluster, size) of the clusters that are left of stars (cluster, u, size, sketch), named by their least member.
+
+    Stars fall apart where sketches rule links out, and sets that are left alone go. What is left of different stars and
+    has the same least member is one cluster.
+    """
+
+    def one(table: pa.Table) -> pa.Table:
+        order = np.lexsort((table.column("u").to_numpy(), table.column("cluster").to_numpy()))
+        table = table.take(order)
+        cluster, u, size = (table.column(c).to_numpy() for c in ("cluster", "u", "size"))
+        sketches = table.column("sketch").to_pylist()
+        cuts = [0, *(np.flatnonzero(np.diff(cluster)) + 1).tolist(), len(cluster)] if len(cluster) else [0]
+        out = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            label = _close(size[a:b], sketches[a:b], per_cent)
+            some = np.bincount(label, minlength=b - a)[label] > 1
+            out.append((u[a:b][some], u[a + label[some]], size[a:b][some]))
+        columns = [np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3)]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_MEMBERS)
+
+    dealt = stars.select(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task"), "cluster", "u", "size", "sketch")
+    return dealt.groupBy("task").applyInArrow(one, "u long, cluster long, size long").distinct()
+
+
 def _tasks(members: DataFrame, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
     """(u, cluster, tasks) from (u, cluster, size): the names of the groups in which each set is compared.
 
@@ -287,9 +354,12 @@ def linked(
     info = sets.where("bucket IS NULL").select("u", "id", "n", "s1", "s2")
     classes = stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.min(least).alias("least")), "classes")
     reps = classes.select(F.col("rep").alias("u"), F.col("n").alias("size"))
-    stars = stored(_candidates(sets.where("bucket IS NOT NULL")).join(reps, "u").select("u", F.col("v").alias("cluster"), "size"), "stars")
-    heads = stars.select(F.col("cluster").alias("u")).distinct().join(reps, "u").select("u", F.col("u").alias("cluster"), "size")
-    members = stars.unionByName(heads)
+    edges = stored(_candidates(sets.where("bucket IS NOT NULL")).join(reps, "u").select("u", F.col("v").alias("cluster"), "size"), "stars")
+    heads = edges.select(F.col("cluster").alias("u")).distinct().join(reps, "u").select("u", F.col("u").alias("cluster"), "size")
+    stars = edges.unionByName(heads)
+    large = stored(edges.groupBy("cluster").agg(F.count("*").alias("rows")).where(F.col("rows") >= MOST_STAR).select("cluster"), "large-stars")
+    likely = stars.join(large, "cluster", "left_anti").join(sets.where("sketch IS NOT NULL").select("u", "sketch"), "u")
+    members = stored(_likely(likely, per_cent, buckets).unionByName(stars.join(large, "cluster", "left_semi").select("u", "cluster", "size")), "members")
     same = components(_links(members, _squeezed(rows), n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
     rooted = classes.join(same, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))

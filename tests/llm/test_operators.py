@@ -269,8 +269,9 @@ def brute_links(docs, n, per_cent):
     return [(docs[i][0], len(sets[i]), docs[find(i)][0]) for i in range(len(docs))]
 
 
-@pytest.mark.parametrize("block_bytes", [16 << 20, 3000])
-def test_jaccard_against_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_bytes, most_star", [(16 << 20, 20_000), (3000, 3)])
+def test_jaccard_against_brute_force(spark, block_bytes, most_star, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_STAR", most_star)
     rng, words, docs = random.Random(2), [f"w{i}" for i in range(60)], []
     for i in range(250):
         ws = rng.choice(docs)[1].split() if docs and rng.random() < 0.7 else [rng.choice(words) for _ in range(rng.choice([0, 1, 3, 4, 5, 10, 20, 60, 150]))]
@@ -305,6 +306,16 @@ def test_signatures_lose_no_similar_pair():
     assert tried > 1000
 
 
+def test_sketches_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        size = int(rng.choice([5, 30, 200, 1000, 1100, 5000]))
+        base = rng.integers(0, 1 << 63, size * 2, dtype=np.uint64)
+        sets = [np.unique(rng.choice(base, int(size * rng.uniform(0.7, 1.3)), replace=False)) for _ in range(3)] + [np.unique(base[: size - i * size // 20]) for i in range(3)]
+        label = jaccard._close(np.array([len(x) for x in sets]), [jaccard.sketch(x).tobytes() for x in sets], 80)
+        assert all(label[i] == label[j] for i in range(6) for j in range(6) if sigtree.similar(sets[i], sets[j], 80))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(300, 340)] + [(0, i) for i in range(400, 500)]
