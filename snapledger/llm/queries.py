@@ -63,31 +63,33 @@ QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_suff
 
 _NORMAL_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-def _op1_sql(rounds: int = 5) -> str:
+def _op1_sql(rounds: int = 250) -> str:
+    """Ranks far beyond the operator's tolerance, by a recursive table: each round passes 85 per cent of all ranks on and adds the seeds anew.
+
+    A row of the host ``*`` stands for the seeds in every round. Parents are worked out label by label.
+    """
     az = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
-    fits = " UNION ALL ".join(f"SELECT '{r.rule}' AS rule, '{r.host}' AS rhost, '{r.path}' AS rpath, {str(r.allow).lower()} AS allow" for r in urlgraph.RULES)
-    out = f"""
-WITH p AS (SELECT page_id, row_number() OVER () AS k, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {az}), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
-rules AS ({fits}),
+    rules = " UNION ALL ".join(f"SELECT '{r.rule}' AS rule, '{r.host}' AS rhost, '{r.path}' AS rpath, {str(r.allow).lower()} AS allow" for r in urlgraph.RULES)
+    suffixes = ", ".join(map(_quoted, urlgraph.SUFFIXES))
+    return f"""
+WITH RECURSIVE p AS (SELECT page_id, row_number() OVER () AS k, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {az}), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
+rules AS ({rules}),
 hits AS (SELECT k, rule, allow, row_number() OVER (PARTITION BY k ORDER BY length(rule) DESC) AS n FROM p JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath)),
 ruled AS (SELECT p.*, rule, allow FROM p LEFT JOIN hits ON p.k = hits.k AND n = 1),
 links AS (SELECT host AS src, translate(unnest(regexp_extract_all(html, {_quoted(urlgraph.LINK)}, 1)), {az}) AS dst FROM p),
-up AS (SELECT src, substr(src, strpos(src, '.') + 1) AS dst FROM (SELECT host AS src FROM p UNION SELECT dst FROM links) WHERE len(string_split(src, '.')) >= 4),
+named AS (SELECT string_split(src, '.') AS x FROM (SELECT host AS src FROM p UNION SELECT dst FROM links) WHERE NOT regexp_matches(src, '^[0-9.]+(:[0-9]*)?$')),
+steps AS (SELECT x, unnest(range(1, len(x) - 1)) AS i FROM named WHERE len(x) >= 3),
+up AS (SELECT DISTINCT array_to_string(x[i:], '.') AS src, array_to_string(x[i + 1:], '.') AS dst FROM steps WHERE NOT list_contains(x[i + 1:], '') AND array_to_string(x[i + 1:], '.') NOT IN ({suffixes})),
 fwd AS (SELECT src, dst, count(*) AS weight FROM (SELECT src, dst FROM links UNION ALL SELECT src, dst FROM up UNION ALL SELECT dst, src FROM up) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst),
-rev AS (SELECT dst AS src, src AS dst, weight FROM fwd)"""
-    for side, edges, which in (("t", "fwd", "allow"), ("d", "rev", "NOT allow")):
-        out += f""",
-{side}n AS (SELECT host, count(*) AS n FROM ruled WHERE {which} AND host <> '' GROUP BY host),
-{side}seed AS (SELECT host, CAST(CAST({urlgraph.MASS} AS HUGEINT) * n // (SELECT sum(n) FROM {side}n) AS BIGINT) AS seed FROM {side}n),
-{side}share AS (SELECT src, dst, weight, sum(weight) OVER (PARTITION BY src) AS total FROM {edges}),
-{side}0 AS (SELECT host, seed AS rank FROM {side}seed)"""
-        for i in range(rounds):
-            out += f""",
-{side}{i + 1} AS (SELECT host, sum(part) // 100 AS rank FROM (SELECT dst AS host, (rank // total) * weight * 85 AS part FROM {side}{i} JOIN {side}share ON host = src UNION ALL SELECT host, seed * 15 FROM {side}seed) GROUP BY host)"""
-    return out + f"""
-SELECT page_id, ruled.host, path, rule, CASE WHEN coalesce(allow, coalesce(d{rounds}.rank, 0) <= coalesce(t{rounds}.rank, 0)) THEN 'allow' ELSE 'block' END AS verdict,
-  CAST(coalesce(t{rounds}.rank, 0) AS BIGINT) AS trust, CAST(coalesce(d{rounds}.rank, 0) AS BIGINT) AS distrust
-FROM ruled LEFT JOIN t{rounds} ON ruled.host = t{rounds}.host LEFT JOIN d{rounds} ON ruled.host = d{rounds}.host"""
+edges AS (SELECT true AS allow, src, dst, weight FROM fwd UNION ALL SELECT false, dst, src, weight FROM fwd),
+seeds AS (SELECT allow, host, count(*) / sum(count(*)) OVER (PARTITION BY allow) AS seed FROM ruled WHERE allow IS NOT NULL AND host <> '' GROUP BY allow, host),
+moves AS (SELECT allow, src, dst, 0.85 * weight / sum(weight) OVER (PARTITION BY allow, src) AS share FROM edges UNION ALL SELECT allow, '*', host, 0.15 * seed FROM seeds UNION ALL SELECT DISTINCT allow, '*', '*', 1.0 FROM seeds),
+ranks(n, allow, host, rank) AS (
+  SELECT DISTINCT 0, allow, '*', CAST(1.0 AS DOUBLE) FROM seeds
+  UNION ALL SELECT n + 1, moves.allow, dst, sum(rank * share) FROM ranks JOIN moves ON ranks.allow = moves.allow AND ranks.host = moves.src WHERE n < {rounds} GROUP BY n + 1, moves.allow, dst),
+last AS (SELECT host, coalesce(max(rank) FILTER (WHERE allow), 0) AS trust, coalesce(max(rank) FILTER (WHERE NOT allow), 0) AS distrust FROM ranks WHERE n = {rounds} GROUP BY host)
+SELECT page_id, ruled.host, path, rule, CASE WHEN coalesce(allow, coalesce(distrust, 0) <= coalesce(trust, 0)) THEN 'allow' ELSE 'block' END AS verdict
+FROM ruled LEFT JOIN last ON ruled.host = last.host"""
 
 
 def _quoted(text: str) -> str:
