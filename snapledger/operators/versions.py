@@ -87,12 +87,19 @@ def transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str], column
     return out.withColumns(verdicts).drop("_n")
 
 
-def history(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(keys, order, field, old_value, new_value): a row for each field that changed from one version to the next."""
-    long = df.select(*keys, *order, F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("new_value")) for c in columns))).alias("x")).select(*keys, *order, "x.*")
+def history(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], change_type: str | None = None) -> DataFrame:
+    """(keys, order, field, old_value, new_value): a row for each field that changed from one version to the next.
+
+    ``change_type`` names the column that tells what kind of run stored a version. Versions of runs other than routine
+    ones are no edits by the publisher, so what changed in them isn't told; the next one is still compared with them.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("new_value")) for c in columns)))
+    routine = F.col(change_type) == "routine" if change_type else F.lit(True)
+    long = df.select(*keys, *order, routine.alias("_routine"), pairs.alias("x")).select(*keys, *order, "_routine", "x.*")
     w = Window.partitionBy(*keys, "field").orderBy(*order)
     out = long.withColumns({"old_value": F.lag("new_value").over(w), "_n": F.row_number().over(w)})
-    return out.where((F.col("_n") > 1) & ~F.col("old_value").eqNullSafe(F.col("new_value"))).select(*keys, *order, "field", "old_value", "new_value")
+    changed = (F.col("_n") > 1) & ~F.col("old_value").eqNullSafe(F.col("new_value")) & F.coalesce("_routine", F.lit(False))
+    return out.where(changed).select(*keys, *order, "field", "old_value", "new_value")
 
 
 def presence(batch: DataFrame, run_id: str, source: str, keys: Sequence[str]) -> DataFrame:
@@ -100,15 +107,20 @@ def presence(batch: DataFrame, run_id: str, source: str, keys: Sequence[str]) ->
     return batch.select(F.lit(run_id).alias("run_id"), F.lit(source).alias("source"), *keys).distinct()
 
 
-def lifecycle(seen: DataFrame, keys: Sequence[str], run: str, edits: Sequence[str] = ()) -> DataFrame:
-    """Of each identity: first_seen, last_seen, runs_seen, is_currently_active, was_ever_retracted.
+def lifecycle(seen: DataFrame, keys: Sequence[str], run: str, stored: DataFrame | None = None, hash_col: str = "content_hash") -> DataFrame:
+    """Of each identity: first_seen, last_seen, runs_seen, is_currently_active, was_ever_retracted, and edit_count.
 
     ``run`` orders the runs. Runs get ordinals from their distinct values, a small table. An identity that was absent
-    between two runs that saw it, or is absent from the last, was retracted.
+    between two runs that saw it was retracted; one that the last run saw is active. ``edit_count`` is the number of
+    different hashes that ``stored`` has of the identity (0 without any); without ``stored`` there is no such column.
     """
     runs = seen.select(run).distinct().withColumn("_ord", F.row_number().over(Window.orderBy(run)))
     last = runs.agg(F.max("_ord")).first()[0]
     rows = seen.select(*keys, run).distinct().join(F.broadcast(runs) if (last or 0) < 100_000 else runs, run)
     out = rows.groupBy(*keys).agg(F.min(run).alias("first_seen"), F.max(run).alias("last_seen"), F.count("*").alias("runs_seen"), F.min("_ord").alias("_a"), F.max("_ord").alias("_b"))
-    active = F.col("_b") == F.lit(last)
-    return out.withColumns({"is_currently_active": active, "was_ever_retracted": (F.col("_b") - F.col("_a") + 1 > F.col("runs_seen")) | ~active}).drop("_a", "_b")
+    gap = F.col("_b") - F.col("_a") + 1 > F.col("runs_seen")
+    out = out.withColumns({"is_currently_active": F.col("_b") == F.lit(last), "was_ever_retracted": gap}).drop("_a", "_b")
+    if stored is None:
+        return out
+    edits = stored.groupBy(*keys).agg(F.countDistinct(hash_col).alias("edit_count"))
+    return out.join(edits, list(keys), "left").withColumn("edit_count", F.coalesce("edit_count", F.lit(0)).cast("long"))

@@ -187,14 +187,28 @@ def _history(x: Tables) -> DataFrame:
     return versions.history(x.events, ["user_id"], ["ts"], ["event_type", "props"])
 
 
+@shown(
+    "field_history_routine",
+    """WITH u AS (SELECT user_id, ts, event_type AS v, value < 10 AS odd FROM events),
+l AS (SELECT *, lag(v) OVER w AS p, row_number() OVER w AS rn FROM u WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+SELECT user_id, ts, 'event_type' AS field, p AS old_value, v AS new_value FROM l WHERE rn > 1 AND p IS DISTINCT FROM v AND NOT odd""",
+)
+def _routine_history(x: Tables) -> DataFrame:
+    rows = x.events.withColumn("kind", F.when(F.col("value") < 10, "schema_rebaseline").otherwise("routine"))
+    return versions.history(rows, ["user_id"], ["ts"], ["event_type"], change_type="kind")
+
+
 @shown(
     "lifecycle",
     """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), r AS (SELECT day, row_number() OVER (ORDER BY day) AS o FROM (SELECT DISTINCT day FROM d)),
-g AS (SELECT user_id, min(day) AS first_seen, max(day) AS last_seen, count(*) AS runs_seen, min(o) AS a, max(o) AS b FROM d JOIN r USING (day) GROUP BY user_id)
-SELECT user_id, first_seen, last_seen, runs_seen, b = (SELECT max(o) FROM r) AS is_currently_active, (b - a + 1 > runs_seen) OR b <> (SELECT max(o) FROM r) AS was_ever_retracted FROM g""",
+g AS (SELECT user_id, min(day) AS first_seen, max(day) AS last_seen, count(*) AS runs_seen, min(o) AS a, max(o) AS b FROM d JOIN r USING (day) GROUP BY user_id),
+e AS (SELECT user_id, count(DISTINCT event_type) AS edit_count FROM events WHERE event_type <> 'error' GROUP BY user_id)
+SELECT user_id, first_seen, last_seen, runs_seen, b = (SELECT max(o) FROM r) AS is_currently_active, b - a + 1 > runs_seen AS was_ever_retracted, coalesce(edit_count, 0) AS edit_count
+FROM g LEFT JOIN e USING (user_id)""",
 )
 def _lifecycle(x: Tables) -> DataFrame:
-    return versions.lifecycle(x.events.select("user_id", F.to_date("ts").alias("day")), ["user_id"], "day")
+    seen = x.events.select("user_id", F.to_date("ts").alias("day"))
+    return versions.lifecycle(seen, ["user_id"], "day", x.events.where("event_type <> 'error'"), "event_type")
 
 
 @shown("presence_manifest", "SELECT DISTINCT 'run-1' AS run_id, 'events' AS source, user_id FROM events")
@@ -482,12 +496,6 @@ def _siblings(x: Tables) -> DataFrame:
     return reports.sibling_dates(x.conversations, "conv_id", "role", "user", "assistant", "turn")
 
 
-@shown("sibling_pairing", "SELECT doc_id FROM documents WHERE lang = 'es' AND source IN (SELECT source FROM documents WHERE lang = 'en')")
-def _pairing(x: Tables) -> DataFrame:
-    english = x.documents.where("lang = 'en'").select("source").distinct()
-    return x.documents.where("lang = 'es'").join(english, "source", "left_semi").select("doc_id")
-
-
 @shown("prefix_split", "SELECT count(*) FILTER (WHERE url LIKE 'http://%') AS plain, count(*) FILTER (WHERE url LIKE 'https://%') AS secure, count(*) FILTER (WHERE NOT coalesce(url LIKE 'http://%', false) AND NOT coalesce(url LIKE 'https://%', false)) AS other, count(*) AS rows FROM pages")
 def _prefixes(x: Tables) -> DataFrame:
     return reports.prefix_split(x.pages, "url", {"plain": "http://", "secure": "https://"})
@@ -498,7 +506,7 @@ def _triage(x: Tables) -> DataFrame:
     return reports.triage(x.part, "p_name", ["red", "green", "a_u"])
 
 
-@shown("similar_names", "SELECT x.k AS a, y.k AS b, CAST(levenshtein(x.k, y.k) AS BIGINT) AS edits FROM (SELECT DISTINCT upper(trim(p_name)) AS k FROM part) x JOIN (SELECT DISTINCT upper(trim(p_name)) AS k FROM part) y ON left(x.k, 4) = left(y.k, 4) AND x.k < y.k WHERE levenshtein(x.k, y.k) <= 5")
+@shown("similar_names", "SELECT x.k AS a, y.k AS b, CAST(levenshtein(x.k, y.k) AS BIGINT) AS edits FROM (SELECT DISTINCT upper(trim(p_name)) AS k FROM part) x JOIN (SELECT DISTINCT upper(trim(p_name)) AS k FROM part) y ON x.k < y.k WHERE levenshtein(x.k, y.k) <= 5")
 def _similar(x: Tables) -> DataFrame:
     return reports.similar_names(x.part, "p_name", 5)
 
