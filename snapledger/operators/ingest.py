@@ -102,3 +102,21 @@ def cursor_start(store: Store, source: str, today: dt.date, lookback_days: int =
     """Where an incremental read begins: the cursor, or some days back without one. A cursor that isn't a date raises."""
     at = store.cursor(source)
     return dt.date.fromisoformat(at) if at else today - dt.timedelta(days=lookback_days)
+
+
+def backfill_presence(store: Store, spec: SourceSpec, path: str, run_id: str, as_of: str) -> int:
+    """Writes the manifest of a run from before there were manifests, from what it landed. Returns the identities; nothing else is written.
+
+    A run that has a manifest already is left alone.
+    """
+    known = store.read("presence", spec.name)
+    if known is not None and not known.where(F.col("run_id") == run_id).isEmpty():
+        return 0
+    valid, _ = validate.validate(store.replay(path), spec)
+    good, _ = invariants.check(valid, spec, as_of)
+    rows = versions.presence(good, run_id, spec.name, spec.identity).persist()
+    try:
+        store.append("presence", spec.name, rows)
+        return rows.count()
+    finally:
+        rows.unpersist()

@@ -16,3 +16,9 @@ SETTINGS = {
 
 def session(app: str = "snapledger", **more: str) -> SparkSession:
     return SparkSession.builder.appName(app).config(map=SETTINGS | more).getOrCreate()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share for what is written on the way: spark.checkpoint.dir, else the warehouse's."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    return at.rstrip("/") if at else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/snapledger-work"

@@ -15,7 +15,7 @@ CHANGE_TYPES = ("routine", "schema_rebaseline", "hash_helper_rebaseline", "histo
 class Store:
     """Tables under one root folder, through Hadoop's file system, so any store that Spark can write to will do.
 
-    Tables are appended to. Small state (cursors) is written whole to a new folder, and the newest
+    Tables are appended to. Small state (a feed's cursor) is written whole to a new folder, and the newest
     folder counts; so no reader sees half a state, and nothing is overwritten while it's read.
     """
 
@@ -37,8 +37,8 @@ class Store:
     def read(self, kind: str, name: str) -> DataFrame | None:
         return self.spark.read.parquet(self.path(kind, name)) if self.exists(kind, name) else None
 
-    def append(self, kind: str, name: str, df: DataFrame) -> None:
-        df.write.mode("append").option("compression", "zstd").parquet(self.path(kind, name))
+    def append(self, kind: str, name: str, df: DataFrame, *by: str) -> None:
+        df.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(self.path(kind, name))
 
     def land(self, source: str, raw: DataFrame, date: str, errors: bool = False) -> str:
         """Writes raw lines, gzipped, to an immutable folder by source and date."""
@@ -61,7 +61,19 @@ class Store:
         names = [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
         return sorted(x for x in names if x.startswith("v") and fs.exists(self._fs(f"{self.path('state', kind)}/{x}/_SUCCESS")[1]))
 
+    def _kinds(self, kind: str) -> list[str]:
+        """The parts of a kind of state that are kept apart, one folder each."""
+        fs, place = self._fs(self.path("state", kind))
+        return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.getPath().getName().startswith("of=")) if fs.exists(place) else []
+
     def state(self, kind: str) -> DataFrame | None:
+        """The newest version; of a kind in parts, the newest of each together."""
+        if parts := self._kinds(kind):
+            found = [x for p in parts if (x := self.state(f"{kind}/{p}")) is not None]
+            out = found[0] if found else None
+            for x in found[1:]:
+                out = out.unionByName(x)
+            return out
         found = self._versions(kind)
         return self.spark.read.parquet(f"{self.path('state', kind)}/{found[-1]}") if found else None
 
@@ -71,16 +83,20 @@ class Store:
         df.coalesce(1).write.parquet(f"{self.path('state', kind)}/v{n:012d}")
 
     def cursor(self, source: str) -> str | None:
-        now = self.state("cursors")
-        row = now.where(F.col("source") == source).select("cursor").first() if now else None
-        return row[0] if row else None
+        row = self._cursor(source)
+        return row["cursor"] if row else None
 
-    def put_cursor(self, source: str, cursor: str | None, at: str, etag: str | None = None) -> None:
-        """Replaces the source's row. An etag that isn't given stays."""
-        now = self.state("cursors")
-        row = now.where(F.col("source") == source).first() if now else None
-        new = self.spark.createDataFrame([(source, cursor, etag or (row and row["etag"]), at)], "source string, cursor string, etag string, updated_at string")
-        self.put_state("cursors", now.where(F.col("source") != source).unionByName(new) if now else new)
+    def _cursor(self, source: str):
+        now = self.state(f"cursors/of={source}")
+        return now.first() if now else None
+
+    def put_cursor(self, source: str, cursor: str | None, at: str, etag: str | None = None, modified: str | None = None) -> None:
+        """Replaces the source's row, which has a folder of its own, so that feeds don't wait for or undo each other. What isn't given of the
+        answer's tags stays."""
+        row = self._cursor(source)
+        old = row.asDict() if row else {}
+        values = (source, cursor, etag or old.get("etag"), modified or old.get("last_modified"), at)
+        self.put_state(f"cursors/of={source}", self.spark.createDataFrame([values], "source string, cursor string, etag string, last_modified string, updated_at string"))
 
     def touch(self, source: str, at: str) -> None:
         """Freshness without new rows, for a feed that answered that nothing changed."""
@@ -94,7 +110,7 @@ class Store:
         names = [x.split()[0] for x in _RUNS.split(", ")]
         try:
             row = self.spark.createDataFrame([tuple(values.get(n) for n in names)], _RUNS.replace("started_at timestamp", "started_at string"))
-            self.append("runs", "extraction_runs", row.withColumn("started_at", F.col("started_at").cast("timestamp")))
+            self.append("runs", "extraction_runs", row.withColumn("started_at", F.col("started_at").cast("timestamp")), "source")
         except Exception as error:
             print(f"run log not written: {error}")
 
@@ -107,6 +123,30 @@ class Store:
         fs, place = self._fs(self.path(kind, name))
         fs.delete(place, True)
 
+    def runs(self) -> DataFrame | None:
+        return self.read("runs", "extraction_runs")
+
+    def rejected(self, *sources: str) -> DataFrame | None:
+        """The quarantine of several feeds as one table, tagged by ``source``; feeds without any are left out."""
+        found = [x.withColumn("source", F.lit(s)) for s in sources if (x := self.read("rejected", s)) is not None]
+        out = found[0] if found else None
+        for x in found[1:]:
+            out = out.unionByName(x, allowMissingColumns=True)
+        return out
+
+    def reset(self, source: str, at: str) -> None:
+        """Empties a feed for a fresh start: its bronze, rejected and presence tables, its runs and its cursor.
+
+        Raises and leaves all as it is if any of its runs wasn't routine, as such a run can't be had again.
+        """
+        runs = self.runs()
+        odd = runs.where((F.col("source") == source) & (F.col("change_type") != "routine")).count() if runs else 0
+        if odd:
+            raise RuntimeError(f"{source} has {odd} runs that weren't routine")
+        for kind, name in (("bronze", source), ("rejected", source), ("presence", source), ("runs", f"extraction_runs/source={source}"), ("state", f"cursors/of={source}")):
+            fs, place = self._fs(self.path(kind, name))
+            fs.delete(place, True)
+
     def prune(self, kind: str, name: str, at: str, now: str, daily: int = 90, monthly: int = 365) -> DataFrame:
         """Retention: all rows of the last ``daily`` days, and the first day's rows of each month of the last ``monthly`` days."""
         rows = self.read(kind, name)
