@@ -141,7 +141,12 @@ _ROLES = {"manufacturers": "manufacturer", "retailers": "retailer", "importers":
 
 def firms_by_role(cpsc: DataFrame) -> DataFrame:
     """(source_recall_id, role, raw_name, company_id): four arrays tagged and exploded in one scan."""
-    tagged = F.flatten(F.array(*(F.transform(F.coalesce(c, F.array().cast(cpsc.schema[c].dataType)), lambda x, role=role: F.struct(F.lit(role).alias("role"), x["name"].alias("raw_name"), x["company_id"].alias("company_id"))) for c, role in _ROLES.items())))
+
+    def named(column: str, role: str) -> Column:
+        rows = F.coalesce(column, F.array().cast(cpsc.schema[column].dataType))
+        return F.transform(rows, lambda x: F.struct(F.lit(role).alias("role"), x["name"].alias("raw_name"), x["company_id"].alias("company_id")))
+
+    tagged = F.flatten(F.array(*(named(c, role) for c, role in _ROLES.items())))
     return cpsc.select("source_recall_id", F.explode(tagged).alias("x")).select("source_recall_id", "x.*").where("raw_name IS NOT NULL AND trim(raw_name) <> ''")
 
 

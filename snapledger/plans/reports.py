@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import name_key, percent
@@ -188,3 +188,62 @@ def search(df: DataFrame, order: Sequence[Column], n: int, **filters: Column) ->
     for condition in filters.values():
         out = out.where(condition)
     return out.orderBy(*order).limit(n)
+
+
+def detail(events: DataFrame, products: DataFrame, links: DataFrame, firms: DataFrame, source: str, recall_id: str) -> DataFrame:
+    """Designed further: one event with its products and its firms by role, as arrays in order of their keys."""
+    one = events.where((F.col("source") == source) & (F.col("source_recall_id") == recall_id))
+    key = "recall_event_id"
+    parts = products.join(one.select(key), key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("product_name", "recall_product_id"))).alias("products"))
+    named = links.join(one.select(key), key, "left_semi").join(firms.select("firm_id", "canonical_name"), "firm_id")
+    people = named.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("role", "canonical_name"))).alias("firms"))
+    return one.join(parts, key, "left").join(people, key, "left")
+
+
+def product_search(products: DataFrame, text: str = "", **exact: str) -> DataFrame:
+    """Designed further: products whose name or description has the text, in any case, and whose columns (upc, model) are as given."""
+    found = F.concat_ws(" ", "product_name", "product_description")
+    out = products.where(F.contains(F.lower(found), F.lit(text.lower()))) if text else products
+    for column, value in exact.items():
+        out = out.where(F.col(column) == value)
+    return out
+
+
+def firm_events(links: DataFrame, events: DataFrame) -> DataFrame:
+    """Designed further: of each firm its events in all sources, by source, and when the first and last were published."""
+    rows = links.select("firm_id", "recall_event_id").distinct().join(events.select("recall_event_id", "source", "published_at"), "recall_event_id")
+    return rows.groupBy("firm_id", "source").agg(F.count("*").alias("events"), F.min("published_at").alias("first"), F.max("published_at").alias("last"))
+
+
+def resolved_firms(rows: DataFrame, name: str, number: str, most: int = 2) -> DataFrame:
+    """Designed further: (normalized_name, anchor): names that share a registration number have one anchor, the least of their names.
+
+    A name without a number takes the anchor of the closest name that has one, within ``most`` edits (equally close ones:
+    the least); else it's its own.
+    """
+    keys = rows.select(name_key(F.col(name)).alias("k"), F.col(number).alias("number")).where("k IS NOT NULL").distinct()
+    known = keys.where(F.col("number").isNotNull())
+    least = known.groupBy("number").agg(F.min("k").alias("anchor"))
+    anchored = known.join(least, "number").groupBy("k").agg(F.min("anchor").alias("anchor"))
+    loose = keys.select("k").distinct().join(anchored, "k", "left_anti")
+    pairs = similar_names(keys, "k", most)
+    both = pairs.select(F.col("a").alias("k"), F.col("b").alias("other"), "edits").unionByName(pairs.select(F.col("b").alias("k"), F.col("a").alias("other"), "edits"))
+    near = both.join(anchored.withColumnRenamed("k", "other"), "other").groupBy("k").agg(F.min(F.struct("edits", "other", "anchor")).alias("near"))
+    fuzzy = loose.join(near, "k", "left").select("k", F.coalesce("near.anchor", "k").alias("anchor"))
+    return anchored.unionByName(fuzzy).withColumnRenamed("k", "normalized_name")
+
+
+def parameterised(spark: SparkSession, text: str, tables: dict[str, DataFrame], **values) -> DataFrame:
+    """A report as SQL: ``{name}`` stands for a table that is given here and ``:name`` for a value, bound and never pasted in."""
+    return spark.sql(text, args=values, **tables)
+
+
+def verification(df: DataFrame, keys: Sequence[str], hash_col: str, nulls: Sequence[str], empties: Sequence[str], spread: str) -> DataFrame:
+    """(check, value) rows that tell whether a first load is sound: rows, identities, versions beyond one for each, nulls, empty texts and a spread."""
+    one = df.agg(
+        F.count("*").alias("rows"), F.countDistinct(*keys).alias("identities"), (F.countDistinct(*keys, hash_col) - F.countDistinct(*keys)).alias("versions over one"),
+        *(F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in nulls), *(F.count_if(F.col(c) == "").alias(f"empty {c}") for c in empties),
+    )
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("double").alias("value")) for c in one.columns))).alias("x")).select("x.*")
+    per = df.groupBy(spread).agg(F.count("*").cast("double").alias("value"))
+    return rows.unionByName(per.select(F.concat(F.lit(f"{spread}: "), F.col(spread)).alias("check"), "value"))
