@@ -531,23 +531,59 @@ def luhn(digits):
     return sum(d - 9 * (d > 9) for d in (int(c) * (1 + (len(digits) - i) % 2) for i, c in enumerate(digits, 1))) % 10
 
 
+def seed_of(kind, value, key, attempt=0):
+    return hashlib.sha256(f"{key}|{kind}|{attempt}|{value}".encode()).hexdigest()
+
+
+def in_form(digits, form):
+    left = iter(digits)
+    return "".join(next(left) if c.isdigit() else c for c in form) + "".join(left)
+
+
 def brute_surrogate(value, key="key"):
     """What an entity of the kinds other than person becomes at the first draw."""
-    seed = lambda kind: hashlib.sha256(f"{key}|{kind}|0|{value}".encode()).hexdigest()
+    digits = re.sub(r"\D", "", value)
     if "@" in value:
-        top = re.search(r"\.[A-Za-z]{2,}$", value)[0]
-        return reshape(value[: -len(top)], seed("email"), pii.ALPHABETS) + top
+        low = value.lower()
+        top = re.search(r"\.[a-z]{2,}$", low)[0]
+        new = reshape(low[: -len(top)], seed_of("email", low, key), pii.ALPHABETS) + top
+        return "".join(n.upper() if c.isupper() else n for c, n in zip(value, new, strict=True))
     if re.fullmatch(r"\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}", value):
-        if luhn(re.sub(r"\D", "", value)):
+        if luhn(digits):
             return value
-        body = value[0] + reshape(value[1:-1], seed("card"), pii.ALPHABETS)
-        return body + next(str(d) for d in range(10) if not luhn(re.sub(r"\D", "", body) + str(d)))
+        body = digits[0] + reshape(digits[1:-1], seed_of("card", digits, key), pii.ALPHABETS)
+        return in_form(body + next(str(d) for d in range(10) if not luhn(body + str(d))), value)
     if re.fullmatch(r"\d+\.\d+\.\d+\.\d+", value):
-        return ".".join([str(hexes(seed("ip"), 0) % 223 + 1), *(str(hexes(seed("ip"), i) % 256) for i in (1, 2, 3))])
+        seed, (a, b, *_) = seed_of("ip", value, key), map(int, value.split("."))
+        free = [str(hexes(seed, i) % 256) for i in (1, 2, 3)]
+        if a in (0, 10, 127) or a >= 224:
+            return ".".join([str(a), *free])
+        if (a, b) in ((192, 168), (169, 254)):
+            return ".".join([str(a), str(b), *free[1:]])
+        if a == 172 and 16 <= b < 32:
+            return ".".join([str(a), str(hexes(seed, 1) % 16 + 16), *free[1:]])
+        if a == 100 and 64 <= b < 128:
+            return ".".join([str(a), str(hexes(seed, 1) % 64 + 64), *free[1:]])
+        return ".".join([str(pii.PUBLIC[hexes(seed, 0) % len(pii.PUBLIC)]), *free])
     if value[0] in "+(":
-        country = re.match(r"(\+\d{1,3}[ .-]?)?", value)[0]
-        return country + reshape(value[len(country) :], seed("phone"), pii.ALPHABETS)
-    return reshape(value, seed("secret"), pii.HEX if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) else pii.ALPHABETS)
+        code = 0 if value[0] == "(" else 1 if digits[0] in "17" else 2 if digits[:2] in pii.COUNTRIES else 3
+        plain = ("+" if value[0] == "+" else "") + digits
+        rest = plain[1 + code :] if value[0] == "+" else plain
+        return in_form(digits[:code] + reshape(rest, seed_of("phone", plain, key), pii.ALPHABETS), value)
+    return reshape(value, seed_of("secret", value, key), pii.HEX if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) else pii.ALPHABETS)
+
+
+def brute_person(value, key="key"):
+    """A person of one of the scripts and genders at the first draw."""
+    title, *names = value.split(" ")
+    sex = "f" if title.rstrip(".") in pii.TITLES["f"] else "m"
+    script = "cyrillic" if "\u0400" <= names[0][0] < "\u0530" else "greek" if "\u0370" <= names[0][0] < "\u0400" else "latin"
+    seed = seed_of("surname", f"{'' if script == 'latin' else sex}|{script}|{names[-1]}", key)
+    of = pii.SYLLABLES[script]
+    surname = ("".join(of[hexes(seed, i) % len(of)] for i in (1, 2, 3)) + pii.SURNAME_ENDS[sex, script]).capitalize()
+    given = pii.GIVEN[sex, script]
+    first = [given[hexes(seed_of("given", f"{sex}|{script}|{names[0]}", key), 0) % len(given)]] if len(names) > 1 else []
+    return " ".join([title, *first, surname])
 
 
 FOUND = r"[\w.%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|(?<!\d)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d])|\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|(?<=token = \")[0-9a-fA-F]{40}(?=\")|(?<=TOKEN = \")[0-9a-fA-F]{40}(?=\")"
@@ -575,10 +611,31 @@ def test_forms_that_the_tables_do_not_hold(spark):
     assert [r.text for r in got[len(texts) :]] == left
 
 
+def test_one_entity_in_many_forms_has_one_surrogate(spark):
+    texts = [
+        "Ann.Lee@example.com ann.lee@example.com", "4845168114407329 4845 1681 1440 7329 4845-1681-1440-7329", "Mr Kim Park, Mr. Kim Park, Herr Park, Ms Park",
+        "+1 (415) 555-2671, +14155552671, +49 30 1234567, +49301234567", "192.168.0.1 127.0.0.1 10.1.2.3 172.20.1.1 100.64.0.9 169.254.7.7 239.1.1.1 8.8.4.4",
+        "Frau Greta Müller, госпожа Анна Петрова, господин Петров, κύριος Νίκος, κύριος Πέτρος Νίκος",
+    ]
+    got = [r.text for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), "key").collect()]
+    a, b = got[0].split(" ")
+    assert a != b and a.lower() == b and a[0].isupper() and a[4].isupper()
+    assert len({re.sub(r"\D", "", x) for x in (got[1][:16], got[1][17:36], got[1][37:])}) == 1 and got[1][21] == " " and got[1][41] == "-"
+    first, second, third, fourth = (x.split(" ") for x in got[2].split(", "))
+    assert first[1:] == second[1:] and first[0] == "Mr" and second[0] == "Mr." and first[2] == third[1] == fourth[1] != "Park"
+    phones = [re.sub(r"\D", "", x) for x in got[3].split(", ")]
+    assert phones[0] == phones[1] and phones[2] == phones[3] and phones[0][0] == "1" and phones[2][:2] == "49"
+    for old, new, kept in zip(texts[4].split(), got[4].split(), ("192.168.", "127.", "10.", "172.", "100.", "169.254.", "239.", ""), strict=True):
+        assert new == brute_surrogate(old) and new.startswith(kept) and new != old
+    assert got[2] == ", ".join(map(brute_person, texts[2].split(", "))) and got[5] == ", ".join(map(brute_person, texts[5].split(", ")))
+
+
 def test_more_persons_than_short_names_stay_names(spark):
-    rows = spark.range(6000).selectExpr("'person' AS kind", "concat('Mr. Q', translate(lpad(conv(id, 10, 16), 5, '0'), '0123456789ABCDEF', 'abcdefghijklmnop')) AS value")
+    rows = spark.range(6000).selectExpr("'surname' AS kind", "concat('|latin|Q', translate(lpad(conv(id, 10, 16), 5, '0'), '0123456789ABCDEF', 'abcdefghijklmnop')) AS value")
     known = pii.draws(rows, "key").collect()
-    assert len({r.surrogate for r in known}) == 6000 and all(re.fullmatch(r"Mr\. [A-Z][a-z]+man", r.surrogate) for r in known)
+    assert len({r.surrogate for r in known}) == 6000 and all(re.fullmatch(r"\|latin\|[A-Z][a-z]+man", r.surrogate) for r in known)
+    given = pii.draws(spark.range(60).selectExpr("'given' AS kind", "concat('f|cyrillic|', chr(1040 + id % 30), repeat('а', 1 + cast(id as int))) AS value"), "key").collect()
+    assert len({r.surrogate for r in given}) == 60 and all(re.fullmatch(r"f\|cyrillic\|[А-Я][а-я]+", r.surrogate) for r in given)
 
 
 def test_surrogates_stay_distinct_and_coreferent(spark):
@@ -586,8 +643,8 @@ def test_surrogates_stay_distinct_and_coreferent(spark):
     rows = [(i, f"{a}, {names[(i * 7) % 300]}" + (", \ufdd0" if i % 2 else "")) for i, a in enumerate(names)] + [(5, None), (7, ", "), (7, ", ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     known = pii.draws(pii.entities(df), "key").collect()
-    assert len({r.surrogate for r in known}) == len(known) and not {r.surrogate for r in known} & {r.value for r in known} and max(r.attempt for r in known) > 0
-    to = {r.value: r.surrogate for r in known}
+    assert len({r.surrogate for r in known}) == len(known) == 300 and not {r.surrogate for r in known} & {r.value for r in known} and max(r.attempt for r in known) > 0
+    to = {"Mr. " + r.value.split("|")[2]: "Mr. " + r.surrogate.split("|")[2] for r in known}
     out = pii.replace(df, "key")
     assert sorted((r.doc_id, r.text or "") for r in out.collect()) == sorted((i, ", ".join(to.get(x, x) for x in (t or "").split(", "))) for i, t in rows)
     person = pii.replace(spark.createDataFrame([(1, "Frau Greta Müller, госпожа Анна Петрова, κύριος Νίκος")], "doc_id long, text string"), "key").first()
