@@ -385,6 +385,19 @@ def test_quality_statistics_and_cascade(spark):
     assert quality.filter_quality(table(spark, [])).count() == 0
 
 
+def test_prose_rules_and_samples_by_file(spark, tmp_path):
+    fine = b"The cat that sat on the mat and the dog.\nIt is what it has to be..."
+    assert quality.rejected_by(fine, quality.PROSE[:3]) is None and quality.rejected_by(fine, quality.PROSE) == "ellipses"
+    assert quality.rejected_by(b"- the and\n* the and\n", quality.PROSE[2:]) == "bullets" and quality.rejected_by("12 34 56 é".encode(), quality.PROSE) == "few_letters"
+    assert quality.rejected_by(b"cat mat dog", quality.PROSE) == "no_stop_words"
+    spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'few' ELSE repeat('enough words of some kind ', 5) END AS text").repartition(64).write.parquet(f"{tmp_path}/docs")
+    df = spark.read.parquet(f"{tmp_path}/docs")
+    some, part = quality._some_files(df)
+    assert part == 1 / 4 and 0 < some.count() < 2000 and quality._some_files(df.groupBy("text").count())[0].count() == 2
+    figures = quality.measured(df, quality.BASE)
+    assert 0.3 < figures["too_few_words"][1] < 0.7 and quality.filter_quality(df, quality.BASE[:1]).count() == 1500
+
+
 def garbled(rng, x):
     t = list(x.text)
     for _ in range(rng.randint(0, x.edits + 2)):
