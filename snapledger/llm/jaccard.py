@@ -113,12 +113,12 @@ _SETS_DDL = "u long, id long, n long, s1 long, s2 long, sketch binary, bucket in
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
-    """How many elements of a set fall into each of equal ranges of hashes, 64 ranges or more for larger sets.
+    """How many elements of a set fall into each of equal ranges of hashes, up to 255: one range for each four elements or so.
 
-    Two sets differ in at least as many elements as their sketches do in counts.
+    Two sets differ in at least as many elements as their sketches do in counts, and so do sketches of fewer ranges.
     """
-    bits = 6 if len(x) < 1024 else 8 if len(x) < 16384 else 10
-    return np.minimum(np.bincount((w.mix(x) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 65535).astype(np.uint16)
+    bits = next((b for b, most in ((6, 256), (8, 2048), (10, 16384)) if len(x) < most), 12)
+    return np.minimum(np.bincount((w.mix(x) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
 
 
 def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
@@ -212,12 +212,18 @@ def _close(sizes: np.ndarray, sketches: list[bytes], per_cent: int) -> np.ndarra
     All are compared with the first one, and those that can't be linked with it with all.
     """
     n = len(sizes)
-    rows = [np.frombuffer(x, np.uint16).astype(np.int32) for x in sketches]
-    width = min(map(len, rows))
-    table = np.stack([x.reshape(width, -1).sum(axis=1) for x in rows])
+    width = np.array([len(x) for x in sketches])
+    rows = [np.frombuffer(x, np.uint8) for x in sketches]
+    fold = lambda x, to: np.minimum(x.reshape(to, -1).sum(axis=1, dtype=np.int32), 255)
+    #: Of each width, who is as wide at least, and their sketches of that width.
+    tables = {w: (np.flatnonzero(width >= w), np.stack([fold(x, w) for x in rows if len(x) >= w]).astype(np.int16)) for w in set(width.tolist())}
 
     def near(i: int) -> np.ndarray:
-        differ = np.abs(table - table[i]).sum(axis=1)
+        differ = np.zeros(n, np.int64)
+        for w, (who, table) in tables.items():
+            if w <= width[i]:
+                some = np.minimum(width[who], width[i]) == w
+                differ[who[some]] = np.abs(table[some] - fold(rows[i], w).astype(np.int16)).sum(axis=1, dtype=np.int64)
         both = (sizes + sizes[i] - differ) // 2  # the overlap at most
         return 100 * both >= per_cent * (sizes + sizes[i] - both)
 
