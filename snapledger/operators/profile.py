@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import percent, weekday
@@ -23,9 +23,9 @@ def kinds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distribution(df: DataFrame, *by: Column | str) -> DataFrame:
-    """Counts by value with each value's per cent of all rows."""
+    """Counts by value with each value's per cent of all rows; the total is a scalar of its own, so values needn't meet in one task."""
     counts = df.groupBy(*by).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", percent(F.col("n"), F.sum("n").over(Window.partitionBy())))
+    return counts.withColumn("pct", percent(F.col("n"), counts.agg(F.sum("n")).scalar()))
 
 
 def top_values(df: DataFrame, by: str, n: int) -> DataFrame:

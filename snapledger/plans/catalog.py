@@ -6,6 +6,7 @@ primitives whose text both engines take, which Spark plans by itself. Every quer
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +43,18 @@ def shown(name: str, sql: str | None) -> Callable:
     return register
 
 
+_NAMED = re.compile(rf"(\b(?:FROM|JOIN)\s+|,\s+)({'|'.join(TABLES)})\b(?!\.)")
+
+
 def sql(name: str, text: str, duck: str | None = None) -> None:
-    """Registers one SQL text for both engines; ``duck`` where DuckDB spells it another way."""
+    """Registers one SQL text for both engines; ``duck`` where DuckDB spells it another way.
+
+    The tables are bound to the one statement; no view is left in the session.
+    """
+    bound = _NAMED.sub(r"\1{\2}", text)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        used = {x: spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in TABLES if f" {x}" in text.replace("\n", " ").replace("(", " ")}
-        for x, df in used.items():
-            df.createOrReplaceTempView(x)
-        return spark.sql(text)
+        return spark.sql(bound, **{x: spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in TABLES if "{" + x + "}" in bound})
 
     QUERIES[name], SQL[name] = run, duck or text
 
@@ -533,7 +538,8 @@ sql("p_not_in_list", "SELECT n_name FROM nation WHERE n_regionkey NOT IN (0, 2)"
 sql("p_in_subquery", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
 sql("p_in_case", "SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'labelled' ELSE 'plain' END AS kind FROM documents")
 sql("p_in_filter", "SELECT count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels)) AS labelled, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS plain FROM documents")
-sql("p_not_in_subquery", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+sql("p_not_in_subquery", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+sql("p_not_in_nulls", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT CASE WHEN quality = 0 THEN doc_id END FROM labels)")
 sql("p_scalar_subquery", "SELECT o_orderkey FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
 sql("p_scalar_items", "SELECT (SELECT count(*) FROM orders) AS orders_n, (SELECT count(*) FROM lineitem) AS lines_n, CASE WHEN (SELECT count(*) FROM orders) < (SELECT count(*) FROM lineitem) THEN 'ok' ELSE 'odd' END AS verdict")
 sql("p_relative_time", "SELECT event_id FROM events WHERE ts >= TIMESTAMP_NTZ '2024-01-22 00:00:00' - INTERVAL '7' DAY", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-22 00:00:00' - INTERVAL 7 DAY")
