@@ -33,7 +33,7 @@ from .components import components
 BLOCK_BYTES = 48 << 20
 SLICE_BYTES = 4 << 20
 #: Stars of so many sets aren't compared by sketches in one task but go to blocks at once.
-MOST_STAR = 20_000
+MOST_STAR = 8_000
 #: Bytes that a set takes in a task for each of its elements: text, hashes, bits and signatures.
 SET_BYTES = 32
 

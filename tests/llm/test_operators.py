@@ -486,6 +486,25 @@ def test_url_rules(spark):
     assert urlgraph.judge(df.limit(0)).collect() == []
 
 
+def test_odd_pages(spark):
+    long = "x" * 3_000_000 + '<a href="http://bad.org/es/">'
+    rows = [(None, "http://s.org/a", long), (1, "http://s.org/a", None), (1, "http://s.org/a", None), (2, "http://bad.org/es/1", ""), (3, None, long), (4, "http://far.org/", "href='//'")]
+    schema = "page_id long, url string, html string, host string, path string, verdict string, rule string, src string, allow string, rank string, trust string, n string"
+    df = spark.createDataFrame([(*r, *["x"] * 9) for r in rows], schema).repartition(3)
+    got = urlgraph.judge(df).collect()
+    assert sorted((r.page_id or 0, r.host, r.verdict) for r in got) == [(0, "s.org", "block"), (1, "s.org", "block"), (1, "s.org", "block"), (2, "bad.org", "block"), (3, "", "allow"), (4, "far.org", "allow")]
+    assert urlgraph.judge(df.where("page_id = 4")).first().verdict == "allow"  # no seeds at all
+
+
+def test_a_row_repeated_very_often_is_written_each_time(spark):
+    df = spark.createDataFrame([(7, "same text") for _ in range(3000)] + [(i, f"w{i}") for i in range(100)] + [(None, "x") for _ in range(500)], "doc_id long, text string").repartition(5)
+    path = fresh_path(spark, "hot")
+    tokenfiles.write_token_files(df, path, WORDS)
+    rows = sorted(tokenfiles.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert len(rows) == 3600 and [r.doc_id for r in rows[:500]] == [None] * 500 and [r.doc_id for r in rows[500:]] == sorted(r.doc_id for r in rows[500:])
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
+
+
 def settled(seeds, edges, keep=0.85):
     """Personalised PageRank in floating point, far beyond the tolerance, to a mass of one."""
     total, out = sum(seeds.values()), {}
