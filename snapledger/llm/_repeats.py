@@ -52,7 +52,7 @@ class Windows:
     gram: int
     earlier: bool
     longest_run: int = 64
-    bucket_bytes: int = 8 << 20
+    bucket_bytes: int = 4 << 20
     most_runs: int = 20_000
 
 
