@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _windows as w
-from ._util import cells, forget, size_in_bytes, slices, stored
+from ._util import cells, forget, size_in_bytes, slices, stored, tidied, tidied_group
 
 #: Hot samples that are told to all tasks, the most frequent ones: 16 MB at most. What is hot beyond them is still
 #: right, but meets in one task for each sample.
@@ -83,7 +83,7 @@ def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             texts = [None if t is None else squeeze(t) for t in cells(batch.column(3))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], schema=schema)
 
-    return df.select(*keys(id_col, text_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "z int, k long, h long, text binary")
+    return df.select(*keys(id_col, text_col), F.col(text_col).cast("string").alias("text")).mapInArrow(tidied(run), "z int, k long, h long, text binary")
 
 
 def unpacked(column: pa.Array) -> Iterator[bytes | None]:
@@ -192,7 +192,7 @@ def _per_document(dealt: DataFrame, merge: Callable[[list[np.ndarray]], list[np.
         arrays = [*(pa.array(x[rank[first]]) for x in docs), pa.array(of, pa.binary())]
         return pa.Table.from_arrays([a.cast(f.type) for a, f in zip(arrays, _PER_DOC, strict=True)], schema=_PER_DOC)
 
-    return dealt.where(F.col("kind") == HOME).groupBy("bucket").applyInArrow(one, _PER_DOC_DDL)
+    return dealt.where(F.col("kind") == HOME).groupBy("bucket").applyInArrow(tidied_group(one), _PER_DOC_DDL)
 
 
 def _merged(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -277,7 +277,7 @@ def _shared(dealt: DataFrame, of: Windows, buckets: int) -> DataFrame:
                 out.append((0, HOT, (every[hot], runs[hot].astype(np.int64))))
         return _table(out)
 
-    return dealt.groupBy("bucket").applyInArrow(one, _DEALT_DDL)
+    return dealt.groupBy("bucket").applyInArrow(tidied_group(one), _DEALT_DDL)
 
 
 def _passed_on(table: pa.Table) -> list[tuple[int, int, tuple]]:
@@ -396,7 +396,7 @@ def _compared(dealt: DataFrame, of: Windows, buckets: int) -> DataFrame:
             out += _homes(docs, spans[0], [x.astype(np.int32) for x in spans[1:]], buckets)
         return _table(out)
 
-    return dealt.groupBy("bucket").applyInArrow(one, _DEALT_DDL)
+    return dealt.groupBy("bucket").applyInArrow(tidied_group(one), _DEALT_DDL)
 
 
 def repeated(df: DataFrame, of: Windows, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,7 +404,7 @@ def repeated(df: DataFrame, of: Windows, id_col: str = "doc_id", text_col: str =
     spark = df.sparkSession
     buckets = max(8, size_in_bytes(df.select(id_col, text_col)) // of.bucket_bytes)
     texts = df.select(*keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    one = stored(_shared(texts.mapInArrow(_sampled(of, buckets), _DEALT_DDL), of, buckets), "samples")
+    one = stored(_shared(texts.mapInArrow(tidied(_sampled(of, buckets)), _DEALT_DDL), of, buckets), "samples")
     hot = spark.sparkContext.broadcast(_hot(one))
     look = _per_document(one, _runs_once)
     rows = packed(df, id_col, text_col).join(look, KEYS).select(*KEYS, "text", "of")
@@ -412,7 +412,7 @@ def repeated(df: DataFrame, of: Windows, id_col: str = "doc_id", text_col: str =
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _held(of, buckets, hot.value)(batches)
 
-    two = _compared(rows.mapInArrow(held, _DEALT_DDL), of, buckets)
+    two = _compared(rows.mapInArrow(tidied(held), _DEALT_DDL), of, buckets)
     spans = stored(_per_document(two, _merged), "spans")
     forget(one)
     return spans

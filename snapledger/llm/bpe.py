@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import cells
+from ._util import cells, tidied
 
 #: Texts longer than this many code points are split at safe boundaries before encoding.
 LONG = 1 << 16
@@ -96,7 +96,7 @@ def encode_texts(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
 
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
     schema = pa.schema([("id", _arrow(df, id_col)), ("ids", pa.list_(pa.int32()))])
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_each(of, rank_file, pattern, schema), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidied(_each(of, rank_file, pattern, schema)), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode_ids(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -107,7 +107,7 @@ def decode_ids(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
 
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
     schema = pa.schema([("id", _arrow(df, id_col)), ("bytes", pa.binary())])
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(_each(of, rank_file, pattern, schema), f"id {kind}, bytes binary").withColumnRenamed("id", id_col)
+    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(tidied(_each(of, rank_file, pattern, schema)), f"id {kind}, bytes binary").withColumnRenamed("id", id_col)
 
 
 def _arrow(df: DataFrame, name: str) -> pa.DataType:
@@ -134,4 +134,4 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
 
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
     schema = pa.schema([("id", _arrow(df, id_col)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_each(of, rank_file, pattern, schema), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidied(_each(of, rank_file, pattern, schema)), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import NORMAL, cells
+from ._util import NORMAL, cells, tidied
 
 #: Test items are put into automata of about this many words, but at least one item; a further block costs a
 #: further pass. Building one took 300 MB on the driver for 200,000 words; packed it was 13 MB, which is what is broadcast.
@@ -242,7 +242,7 @@ def contamination(
                     found.append({"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)})
                 yield pa.RecordBatch.from_arrays([*batch.columns[:seen], pa.array(found, arrow)], names=batch.schema.names)
 
-        out = out.mapInArrow(scan, out.schema)
+        out = out.mapInArrow(tidied(scan), out.schema)
     return out
 
 
@@ -293,7 +293,7 @@ def remove_spans(
             arrays[at] = pa.array(texts, pa.binary()).cast(batch.column(at).type)
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[: len(columns)]).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(cut, docs.schema)
+    return found.mapInArrow(tidied(cut), docs.schema)
 
 
 def _without(text: bytes, spans: list[dict]) -> bytes:

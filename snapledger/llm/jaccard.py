@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import _repeats as r
 from . import _windows as w
 from . import sigtree
-from ._util import cells, size_in_bytes, slices, stored
+from ._util import cells, size_in_bytes, slices, stored, tidied, tidied_group
 from .components import components
 
 BLOCK_BYTES = 48 << 20
@@ -158,7 +158,7 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
             void = [pa.nulls(len(out), f.type) for f in list(_SETS)[:6]]
             yield pa.RecordBatch.from_arrays([*void, pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], schema=_SETS)
 
-    return rows.select("u", "id", "text").mapInArrow(run, _SETS_DDL)
+    return rows.select("u", "id", "text").mapInArrow(tidied(run), _SETS_DDL)
 
 
 def _fingerprint(x: np.ndarray) -> tuple[int, int, int]:
@@ -203,7 +203,7 @@ def _candidates(dealt: DataFrame) -> DataFrame:
         edges = np.unique(np.stack([u[other], head[other]], axis=1), axis=0)
         return pa.Table.from_arrays([pa.array(np.ascontiguousarray(edges[:, i])) for i in range(2)], schema=_EDGES)
 
-    return dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(one, "u long, v long").distinct()
+    return dealt.select("bucket", "rows").groupBy("bucket").applyInArrow(tidied_group(one), "u long, v long").distinct()
 
 
 def _close(sizes: np.ndarray, sketches: list[bytes], per_cent: int) -> np.ndarray:
@@ -262,7 +262,7 @@ def _likely(stars: DataFrame, per_cent: int, tasks: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_MEMBERS)
 
     dealt = stars.select(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task"), "cluster", "u", "size", "sketch")
-    return dealt.groupBy("task").applyInArrow(one, "u long, cluster long, size long").distinct()
+    return dealt.groupBy("task").applyInArrow(tidied_group(one), "u long, cluster long, size long").distinct()
 
 
 def _tasks(members: DataFrame, per_cent: int, block_bytes: int, tasks: int) -> DataFrame:
@@ -313,7 +313,7 @@ def _links(members: DataFrame, texts: DataFrame, n: int, per_cent: int, block_by
         columns = [np.concatenate([e[i] for e in edges]) if edges else np.zeros(0, np.int64) for i in range(2)]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_EDGES)
 
-    return grouped.groupBy("task").applyInArrow(one, "u long, v long")
+    return grouped.groupBy("task").applyInArrow(tidied_group(one), "u long, v long")
 
 
 def _squeezed(rows: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def _squeezed(rows: DataFrame) -> DataFrame:
         for batch in slices(batches, 1, SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([squeeze(t or b"") for t in cells(batch.column(1))], pa.binary())], schema=schema)
 
-    return rows.select("u", "text").mapInArrow(run, "u long, text binary")
+    return rows.select("u", "text").mapInArrow(tidied(run), "u long, text binary")
 
 
 def linked(

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import NORMAL, cells
+from ._util import NORMAL, cells, tidied
 
 # Phrases that must stand word for word, and their labels.
 PHRASES = (
@@ -211,7 +211,7 @@ def scan(
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=schema)
 
     span = "array<struct<first_word:bigint,n_words:bigint,label:string,edits:bigint,length:bigint>>"
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, n_words long, base {span}, notices {span}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidied(run), f"id {kind.simpleString()}, n_words long, base {span}, notices {span}").withColumnRenamed("id", id_col)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

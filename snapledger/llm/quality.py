@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import SPACES, cells, size_in_bytes
+from ._util import SPACES, cells, size_in_bytes, tidied
 
 SYMBOLS = b"#*$%&|<>"
 _NO_LETTERS = bytes(c for c in range(256) if not (0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0xC0))
@@ -149,7 +149,7 @@ def measured(df: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", sam
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     rows = some.select(F.col(text_col).cast("string")).sample(False, share, seed=7)
-    sums = rows.mapInArrow(run, "rule string, seconds double, rows long, rejected long").groupBy("rule").agg(F.sum("seconds"), F.sum("rows"), F.sum("rejected"))
+    sums = rows.mapInArrow(tidied(run), "rule string, seconds double, rows long, rejected long").groupBy("rule").agg(F.sum("seconds"), F.sum("rows"), F.sum("rejected"))
     found = {name: (seconds / rows, rejected / rows) for name, seconds, rows, rejected in sums.collect() if rows}
     return {r.name: found.get(r.name, (0.0, 0.0)) for r in rules}
 
@@ -177,7 +177,7 @@ def filter_quality(df: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text_co
         for batch in batches:
             yield batch.filter(pa.array([rejected_by(t, order) is None for t in cells(batch.column(at))], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidied(run), df.schema)
 
 
 #: Rules for corpora in languages that STOPS covers; not among those of the registered query, whose texts are invented words.
@@ -216,4 +216,4 @@ def judge(df: DataFrame, base: tuple[Rule, ...] = BASE, more: tuple[Rule, ...] =
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, f.type) for x, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
 
     names = ", ".join(f"{x} long" for x in STATS)
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, {names}, base_failed boolean, kept boolean").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidied(run), f"id {kind.simpleString()}, {names}, base_failed boolean, kept boolean").withColumnRenamed("id", id_col)

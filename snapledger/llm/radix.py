@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from . import _repeats as r
 from . import _windows as w
-from ._util import slices
+from ._util import slices, tidied
 
 #: Bytes of the gram by which stretches are dealt to tasks.
 GRAM = 48
@@ -96,5 +96,5 @@ def remove_repeats(df: DataFrame, width: int = 100, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], schema=schema)
 
     found = r.with_spans(df, windows(width, **more), id_col, text_col)
-    rows = found.mapInArrow(run, "z int, k long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    rows = found.mapInArrow(tidied(run), "z int, k long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     return rows.selectExpr(f"CASE WHEN z = 1 THEN k END AS `{id_col}`", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from . import _repeats as r
 from . import _windows as w
-from ._util import slices
+from ._util import slices, tidied
 
 #: Words of the gram by which stretches are dealt to tasks.
 GRAM = 12
@@ -137,5 +137,5 @@ def remove_repeats(df: DataFrame, width: int = 35, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], schema=schema)
 
     found = r.with_spans(df, windows(width, **more), id_col, text_col)
-    rows = found.mapInArrow(run, "z int, k long, n_words long, n_removed long, kept binary, kept_sha256 string")
+    rows = found.mapInArrow(tidied(run), "z int, k long, n_words long, n_removed long, kept binary, kept_sha256 string")
     return rows.selectExpr(f"CASE WHEN z = 1 THEN k END AS `{id_col}`", "n_words", "n_removed", "CAST(kept AS string) AS kept", "kept_sha256")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._util import cells, size_in_bytes, slices
+from ._util import cells, size_in_bytes, slices, tidied
 
 #: Bytes of each of the two generations of words that a Python worker keeps, which bounds its memory: when the
 #: newer one is full, the older one goes.
@@ -258,7 +258,7 @@ def write_token_files(
     files = max(1, size // bytes_per_file, df.sparkSession.sparkContext.defaultParallelism)
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
     ordered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("id", "text")
-    found = ordered.mapInArrow(run, f"id {kind.simpleString()}, n_tokens long, offset long, ids array<int>")
+    found = ordered.mapInArrow(tidied(run), f"id {kind.simpleString()}, n_tokens long, offset long, ids array<int>")
     (
         found.withColumnRenamed("id", id_col)
         .write.option("compression", "zstd")
@@ -302,4 +302,4 @@ def checksums(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
             sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], schema=schema)
 
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidied(run), f"id {kind.simpleString()}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
