@@ -134,4 +134,6 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
 
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
     schema = pa.schema([("id", _arrow(df, id_col)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidied(_each(of, rank_file, pattern, schema)), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = rows.mapInArrow(tidied(_each(of, rank_file, pattern, schema)), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return out.withColumnRenamed("id", id_col)

@@ -58,7 +58,11 @@ def path_of(url: Column) -> Column:
 
 def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> Column:
     """The longest rule that fits as a struct (length, rule, allow), or null. Of equally long ones the last in order of text."""
-    fits = [F.when(((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path), F.struct(F.lit(len(r.rule)).alias("length"), F.lit(r.rule).alias("rule"), F.lit(r.allow).alias("allow"))) for r in rules]
+    def of(r: UrlRule) -> Column:
+        found = F.struct(F.lit(len(r.rule)).alias("length"), F.lit(r.rule).alias("rule"), F.lit(r.allow).alias("allow"))
+        return F.when(((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path), found)
+
+    fits = [of(r) for r in rules]
     return F.array_max(F.array_compact(F.array(*fits))) if fits else F.lit(None).cast("struct<length:int,rule:string,allow:boolean>")
 
 
@@ -74,7 +78,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
     links = pages.select(F.col("host").alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("dst")).withColumn("dst", F.translate("dst", _UPPER, _LOWER))
     hosts = pages.select(F.col("host").alias("src")).union(links.select("dst")).where(F.size(F.split("src", r"\.")) >= 3).distinct()
     named = hosts.where(~F.col("src").rlike(r"^[0-9.]+(:[0-9]*)?$")).select(F.split("src", r"\.").alias("x"))
-    steps = named.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("x") - 2), lambda i: F.struct(F.array_join(F.slice("x", i, F.size("x")), ".").alias("src"), F.array_join(F.slice("x", i + 1, F.size("x")), ".").alias("dst")))).alias("s"))
+    rest = lambda i: F.array_join(F.slice("x", i, F.size("x")), ".")
+    each = F.transform(F.sequence(F.lit(1), F.size("x") - 2), lambda i: F.struct(rest(i).alias("src"), rest(i + 1).alias("dst")))
+    steps = named.select(F.explode(each).alias("s"))
     up = steps.select("s.*").where(F.col("dst").rlike(r"^[^.]+(\.[^.]+)+$") & ~F.col("dst").isin(*SUFFIXES)).distinct()
     every = links.unionByName(up).unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return every.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("weight"))
@@ -94,7 +100,9 @@ def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float
     seed = F.expr(f"CAST(floor(CAST(n AS DECIMAL(18,0)) * {100 - keep} * CAST({MASS * FINE // 100} AS DECIMAL(23,0)) / CAST(total AS DECIMAL(18,0))) AS DECIMAL(38,0))")
     start = stored(seeds.join(totals, "allow").select("allow", "host", seed.alias("rank")), "seeds")
     out = edges.groupBy("allow", "src").agg(F.sum("weight").alias("out"))
-    shares = stored(edges.join(out, ["allow", "src"]).select("allow", F.col("src").alias("host"), "dst", F.expr(f"CAST(weight * {keep} AS DECIMAL(14,0))").alias("part"), F.expr("CAST(out * 100 AS DECIMAL(20,0))").alias("out")), "shares")
+    part, whole = F.expr(f"CAST(weight * {keep} AS DECIMAL(14,0))"), F.expr("CAST(out * 100 AS DECIMAL(20,0))")
+    shares = edges.join(out, ["allow", "src"]).select("allow", F.col("src").alias("host"), "dst", part.alias("part"), whole.alias("out"))
+    shares = stored(shares, "shares")
     share = F.expr("CAST(floor(CAST(rank * part AS DECIMAL(38,0)) / out) AS DECIMAL(38,0))")
     rank, before = start, None
     while True:
