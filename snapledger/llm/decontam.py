@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import NORMAL, cells, tidied
+from ._util import NORMAL, cells, slices, tidied
 
 #: Test items are put into automata of about this many words, but at least one item; a further block costs a
 #: further pass. Building one took 300 MB on the driver for 200,000 words; packed it was 13 MB, which is what is broadcast.
@@ -198,7 +198,6 @@ def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     width: int = 10,
-    id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
@@ -215,6 +214,15 @@ def contamination(
     Test items are the small side: an automaton holds about ``block_words`` words, which bounds what is
     broadcast; a larger benchmark takes one pass over the rows for each block, merging spans as it goes.
     """
+    return _scanned(docs, _blocks(benchmark, item_col, item_text_col, width, block_words), text_col, None)
+
+
+#: Bytes of texts that are looked at together.
+SLICE_BYTES = 4 << 20
+
+
+def _scanned(docs: DataFrame, blocks: Iterator[Automaton], text_col: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None) -> DataFrame:
+    """The rows with ``found``, a pass for each block; ``finish`` makes rows like those of ``docs`` of them again, within the last pass."""
     spark = docs.sparkSession
     kind = "struct<n_words:bigint,spans:array<struct<start:int,end:int>>,items:array<string>>"
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
@@ -224,12 +232,14 @@ def contamination(
     while name in taken:
         name += "_"
     out = docs.withColumn(name, F.lit(None).cast(kind))
-    for block in _blocks(benchmark, item_col, item_text_col, width, block_words):
-        shared = spark.sparkContext.broadcast(block)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        shared, end = spark.sparkContext.broadcast(block), finish if following is None else None
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, end=end) -> Iterator[pa.RecordBatch]:
             automaton: Automaton = shared.value
-            for batch in batches:
+            for batch in slices(batches, at, SLICE_BYTES):
                 found = []
                 before = batch.column(seen).to_pylist() if batch.column(seen).null_count < len(batch) else [None] * len(batch)
                 for text, old in zip(cells(batch.column(at)), before, strict=True):
@@ -240,9 +250,11 @@ def contamination(
                         spans = _merged(spans + [(x["start"], x["end"]) for x in old["spans"]])
                         names |= set(old["items"])
                     found.append({"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)})
-                yield pa.RecordBatch.from_arrays([*batch.columns[:seen], pa.array(found, arrow)], names=batch.schema.names)
+                done = pa.RecordBatch.from_arrays([*batch.columns[:seen], pa.array(found, arrow)], names=batch.schema.names)
+                yield end(done) if end else done
 
-        out = out.mapInArrow(tidied(scan), out.schema)
+        out = out.mapInArrow(tidied(scan), docs.schema if end else out.schema)
+        block = following
     return out
 
 
@@ -271,7 +283,14 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def remove_spans(
-    docs: DataFrame, benchmark: DataFrame, width: int = 10, most_coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **more
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    most_coverage: float = 0.5,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Drops rows whose covered share of words exceeds ``most_coverage``; cuts the covered spans out of the others.
 
@@ -280,20 +299,18 @@ def remove_spans(
     """
     columns = docs.columns
     at = columns.index(text_col)
-    found = contamination(docs, benchmark, width, id_col, text_col, **more)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, keep = [], []
-            for text, found in zip(cells(batch.column(at)), batch.column(len(columns)).to_pylist(), strict=True):
-                covered = sum(x["end"] - x["start"] for x in found["spans"])
-                keep.append(covered <= most_coverage * found["n_words"])
-                texts.append(_without(text, found["spans"]) if covered else text)
-            arrays = list(batch.columns[: len(columns)])
-            arrays[at] = pa.array(texts, pa.binary()).cast(batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[: len(columns)]).filter(pa.array(keep, pa.bool_()))
-
-    return found.mapInArrow(tidied(cut), docs.schema)
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, keep = [], []
+        for text, found in zip(cells(batch.column(at)), batch.column(len(columns)).to_pylist(), strict=True):
+            covered = sum(x["end"] - x["start"] for x in found["spans"])
+            keep.append(covered <= most_coverage * found["n_words"])
+            texts.append(_without(text, found["spans"]) if covered else text)
+        arrays = list(batch.columns[: len(columns)])
+        arrays[at] = pa.array(texts, pa.binary()).cast(batch.column(at).type)
+        return pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[: len(columns)]).filter(pa.array(keep, pa.bool_()))
+
+    return _scanned(docs, _blocks(benchmark, item_col, item_text_col, width, block_words), text_col, cut)
 
 
 def _without(text: bytes, spans: list[dict]) -> bytes:
