@@ -386,10 +386,10 @@ def _matching(x: Tables) -> DataFrame:
     return readers.matching(x.part, p_name="RED", p_type="eco").select("p_partkey")
 
 
-@shown("http_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS at, true AS odd_is_null FROM orders")
+@shown("http_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS seen, true AS odd_is_null FROM orders")
 def _http_dates(x: Tables) -> DataFrame:
     text = F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
-    return x.orders.select("o_orderkey", F.date_format(t.http_date(text), "yyyy-MM-dd HH:mm:ss").alias("at"), t.http_date(F.lit("yesterday")).isNull().alias("odd_is_null"))
+    return x.orders.select("o_orderkey", F.date_format(t.http_date(text), "yyyy-MM-dd HH:mm:ss").alias("seen"), t.http_date(F.lit("yesterday")).isNull().alias("odd_is_null"))
 
 
 # --- hashes
@@ -452,11 +452,11 @@ def _ingest_runs(x: Tables) -> DataFrame:
 
 @shown(
     "ingest_bronze",
-    """SELECT CAST(c_custkey AS VARCHAR) AS source_recall_id, c_name AS title, '2026-05-01 00:00:00' AS at FROM customer WHERE c_custkey % 40 <> 0
+    """SELECT CAST(c_custkey AS VARCHAR) AS source_recall_id, c_name AS title, '2026-05-01 00:00:00' AS seen FROM customer WHERE c_custkey % 40 <> 0
 UNION ALL SELECT CAST(c_custkey AS VARCHAR), coalesce(v.t, c_name), v.seen FROM customer, (VALUES ('new', '2026-05-02 00:00:00'), (NULL, '2026-05-03 00:00:00')) v(t, seen) WHERE c_custkey % 7 = 1 AND c_custkey % 40 <> 0""",
 )
 def _ingest_bronze(x: Tables) -> DataFrame:
-    return _three_runs(x).read("bronze", "cpsc").select("source_recall_id", "title", _at("extraction_timestamp").alias("at"))
+    return _three_runs(x).read("bronze", "cpsc").select("source_recall_id", "title", _at("extraction_timestamp").alias("seen"))
 
 
 @shown("ingest_rejected", f"SELECT run_id, CAST(c_custkey AS VARCHAR) AS source_recall_id, 'RecallID: not valid' AS failure_reason, 'validate_records' AS failure_stage, 'cpsc' AS source FROM customer, (SELECT run_id FROM ({_RUNS})) WHERE c_custkey % 40 = 0")
@@ -723,7 +723,7 @@ def _sample(x: Tables) -> DataFrame:
 
 @shown(
     "verify_first_extraction",
-    """SELECT 'rows' AS check, CAST(count(*) AS DOUBLE) AS value FROM part UNION ALL SELECT 'identities', count(DISTINCT p_partkey) FROM part UNION ALL SELECT 'versions over one', 0 UNION ALL SELECT 'null p_brand', count(*) FILTER (WHERE p_brand IS NULL) FROM part
+    """SELECT 'rows' AS what, CAST(count(*) AS DOUBLE) AS value FROM part UNION ALL SELECT 'identities', count(DISTINCT p_partkey) FROM part UNION ALL SELECT 'versions over one', 0 UNION ALL SELECT 'null p_brand', count(*) FILTER (WHERE p_brand IS NULL) FROM part
 UNION ALL SELECT 'empty p_name', count(*) FILTER (WHERE p_name = '') FROM part UNION ALL SELECT 'p_type: ' || p_type, count(*) FROM part GROUP BY p_type""",
 )
 def _verify(x: Tables) -> DataFrame:

@@ -239,11 +239,11 @@ def parameterised(spark: SparkSession, text: str, tables: dict[str, DataFrame],
 
 
 def verification(df: DataFrame, keys: Sequence[str], hash_col: str, nulls: Sequence[str], empties: Sequence[str], spread: str) -> DataFrame:
-    """(check, value) rows that tell whether a first load is sound: rows, identities, versions beyond one for each, nulls, empty texts and a spread."""
+    """(what, value) rows that tell whether a first load is sound: rows, identities, versions beyond one for each, nulls, empty texts and a spread."""
     one = df.agg(
         F.count("*").alias("rows"), F.countDistinct(*keys).alias("identities"), (F.countDistinct(*keys, hash_col) - F.countDistinct(*keys)).alias("versions over one"),
         *(F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in nulls), *(F.count_if(F.col(c) == "").alias(f"empty {c}") for c in empties),
     )
-    rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("double").alias("value")) for c in one.columns))).alias("x")).select("x.*")
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("what"), F.col(f"`{c}`").cast("double").alias("value")) for c in one.columns))).alias("x")).select("x.*")
     per = df.groupBy(spread).agg(F.count("*").cast("double").alias("value"))
-    return rows.unionByName(per.select(F.concat(F.lit(f"{spread}: "), F.col(spread)).alias("check"), "value"))
+    return rows.unionByName(per.select(F.concat(F.lit(f"{spread}: "), F.col(spread)).alias("what"), "value"))
