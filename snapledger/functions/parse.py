@@ -91,27 +91,36 @@ def strings(text: Column, kind: Column) -> Parsed:
     return F.from_json(text, "array<string>"), ~kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
 
 
+def opened(type_: Callable[[Column, Column], Parsed], text: Column) -> Column:
+    """What ``type_`` takes as its text: its elements, opened once for value and verdict, if it has such a step."""
+    return getattr(type_, "opened", lambda x: x)(text)
+
+
 def objects(required: dict[str, str], optional: dict[str, str]) -> Callable[[Column, Column], Parsed]:
-    """An array of flat objects {key: name of the field}; unknown keys, missing ones and non-strings are bad."""
+    """An array of flat objects {key: name of the field}; unknown keys, missing ones and non-strings are bad.
+
+    Takes what ``opened`` makes of the text: each element beside its members.
+    """
     names = required | optional
     order = sorted(names.items(), key=lambda x: x[1])
 
-    def parse(text: Column, kind: Column) -> Parsed:
-        raw = F.from_json(text, "array<string>")
+    def elements(text: Column) -> Column:
+        return F.transform(F.from_json(text, "array<string>"), lambda e: F.struct(e.alias("text"), F.from_json(e, "map<string,string>").alias("fields")))
 
-        def bad(element: Column) -> Column:
-            fields = F.from_json(element, "map<string,string>")
-            unknown = F.size(F.array_except(F.map_keys(fields), F.array(*map(F.lit, names)))) > 0
-            missing = [F.try_element_at(fields, F.lit(k)).isNull() for k in required]
-            types = [F.regexp_like(element, F.lit(rf'"{k}"\s*:\s*(?:-?[0-9]|true|false|\[|\{{)')) for k in names]
-            return F.coalesce(fields.isNull() | unknown | F.lit(False), F.lit(True)) | _any(missing) | _any(types)
+    def bad(element: Column) -> Column:
+        fields = element["fields"]
+        unknown = F.size(F.array_except(F.map_keys(fields), F.array(*map(F.lit, names)))) > 0
+        missing = [F.try_element_at(fields, F.lit(k)).isNull() for k in required]
+        types = [F.regexp_like(element["text"], F.lit(rf'"{k}"\s*:\s*(?:-?[0-9]|true|false|\[|\{{)')) for k in names]
+        return F.coalesce(fields.isNull() | unknown | F.lit(False), F.lit(True)) | _any(missing) | _any(types)
 
-        def struct(element: Column) -> Column:
-            fields = F.from_json(element, "map<string,string>")
-            return F.struct(*(F.try_element_at(fields, F.lit(k)).alias(name) for k, name in order))
+    def struct(element: Column) -> Column:
+        return F.struct(*(F.try_element_at(element["fields"], F.lit(k)).alias(name) for k, name in order))
 
-        return F.transform(F.coalesce(raw, F.array().cast("array<string>")), struct), ~kind.startswith("ARRAY") | F.coalesce(F.exists(raw, bad), F.lit(False))
+    def parse(raw: Column, kind: Column) -> Parsed:
+        return F.coalesce(F.transform(raw, struct), F.transform(elements(F.lit("[]")), struct)), ~kind.startswith("ARRAY") | F.coalesce(F.exists(raw, bad), F.lit(False))
 
+    parse.opened = elements
     return parse
 
 

@@ -5,43 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import parse
 from ..sources.spec import Field, SourceSpec
 
 REJECTED = ("source_recall_id", "raw_record", "failure_reason", "failure_stage", "raw_landing_path")
 
 
-def _path(key: str) -> str:
-    return f"$.{key}"
+def _kind(f: Field) -> Column:
+    kind = F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{f.source}", "variant"))
+    return F.when(kind != "VOID", kind)
 
 
-def _field(f: Field, keys: Column, text: Column) -> tuple[Column, Column]:
-    kind = F.schema_of_variant(F.try_variant_get(F.col("_v"), _path(f.source), "variant"))
-    kind = F.when(kind != "VOID", kind)
-    present = F.array_contains(keys, f.source)
+def _field(f: Field, kind: Column, text: Column, present: Column) -> tuple[Column, Column]:
     value, bad = f.type(text, kind)
     error = F.when(kind.isNull(), F.when(F.lit(f.required), F.when(~present, f"{f.source}: missing").otherwise(f"{f.source}: null"))).when(F.coalesce(bad, F.lit(True)), f"{f.source}: not valid")
     if f.default == "array()":  # a missing list is an empty one, of the type that the parser gives
-        value = F.when(kind.isNull(), f.type(F.lit("[]"), F.lit("ARRAY<VOID>"))[0]).otherwise(value)
+        value = F.when(kind.isNull(), f.type(parse.opened(f.type, F.lit("[]")), F.lit("ARRAY<VOID>"))[0]).otherwise(value)
     else:
         value = F.when(kind.isNotNull(), value)
-    return value.alias(f.name), error
+    return value, error
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """The same rows, worked out once: Spark moves no filter below a generator that gives the columns of the filter."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def parsed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """The spec's columns beside ``raw``, raw_landing_path, ``errors`` (sorted by field) and ``stage``.
 
     Keys that the spec doesn't know are errors, in nested elements too, as are wrong JSON types. What isn't
-    a JSON object, or drifted from the file's layout, has no columns.
+    a JSON object, or drifted from the file's layout, has no columns. Each step's columns are used several times by
+    the next, so a record is parsed once, however many fields and later filters there are.
     """
     names = [f.source for f in spec.fields]
     drift = F.col("drift") if "drift" in raw.columns else F.lit(False)
     landed = F.col("raw_landing_path") if "raw_landing_path" in raw.columns else F.lit(None).cast("string")
     rows = raw.select("raw", landed.alias("raw_landing_path"), drift.alias("_drift")).withColumns({"_v": F.try_parse_json("raw"), "_m": F.from_json("raw", "map<string,string>")})
+    rows = _held(rows)
     keys = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>"))
-    values, errors = zip(*(_field(f, keys, F.try_element_at("_m", F.lit(f.source))) for f in spec.fields), strict=True)
-    unknown = F.transform(F.array_sort(F.array_except(keys, F.array(*map(F.lit, names)))), lambda k: F.concat(k, F.lit(": unknown field")))
-    every = F.when(F.col("_drift"), F.array(F.lit("wrong number of fields"))).when(F.col("_m").isNull(), F.array(F.lit("not a JSON object"))).otherwise(F.concat(unknown, F.array_compact(F.array(*errors))))
-    return rows.select("raw", "raw_landing_path", F.when(F.col("_drift"), "extract").otherwise("validate_records").alias("stage"), every.alias("errors"), *values)
+    kinds = [_kind(f).alias(f"_k{i}") for i, f in enumerate(spec.fields)]
+    texts = [parse.opened(f.type, F.try_element_at("_m", F.lit(f.source))).alias(f"_t{i}") for i, f in enumerate(spec.fields)]
+    unknown = F.array_sort(F.array_except(keys, F.array(*map(F.lit, names))))
+    rows = _held(rows.select("raw", "raw_landing_path", "_drift", F.col("_m").isNull().alias("_odd"), keys.alias("_keys"), unknown.alias("_unknown"), *kinds, *texts))
+    fields = [_field(f, F.col(f"_k{i}"), F.col(f"_t{i}"), F.array_contains("_keys", f.source)) for i, f in enumerate(spec.fields)]
+    unknown = F.transform("_unknown", lambda k: F.concat(k, F.lit(": unknown field")))
+    rows = _held(rows.select("raw", "raw_landing_path", "_drift", "_odd", unknown.alias("_unknown"), F.array(*(error for _, error in fields)).alias("_errors"), *(value.alias(f.name) for f, (value, _) in zip(spec.fields, fields, strict=True))))
+    every = F.when(F.col("_drift"), F.array(F.lit("wrong number of fields"))).when(F.col("_odd"), F.array(F.lit("not a JSON object"))).otherwise(F.concat("_unknown", F.array_compact("_errors")))
+    return rows.select("raw", "raw_landing_path", F.when(F.col("_drift"), "extract").otherwise("validate_records").alias("stage"), every.alias("errors"), *spec.columns)
 
 
 def split(rows: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:

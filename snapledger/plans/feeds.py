@@ -32,9 +32,14 @@ def _place(x: Tables, name: str) -> str:
     return f"{work_dir(x.spark)}/feeds/{name}-{uuid.uuid4().hex}"
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly: a table may be one file, and reading is cheap beside what follows."""
+    return df.hint("rebalance")
+
+
 def _raw(df: DataFrame, *members: str) -> DataFrame:
     """Records as JSON text from SQL for each member; a null member is left out."""
-    return df.select(F.concat(F.lit("{"), F.concat_ws(",", *(F.expr(m) for m in members)), F.lit("}")).alias("raw"), F.lit("landed").alias("raw_landing_path"))
+    return _dealt(df).select(F.concat(F.lit("{"), F.concat_ws(",", *(F.expr(m) for m in members)), F.lit("}")).alias("raw"), F.lit("landed").alias("raw_landing_path"))
 
 
 def _at(column: str) -> Column:
@@ -153,7 +158,7 @@ _NHTSA_VALUES = {
 
 def _nhtsa_lines(x: Tables) -> DataFrame:
     """Tab-separated lines without a header; every eighth has a field too many."""
-    rows = x.part.withColumn("d", F.col("p_partkey") % 8)
+    rows = _dealt(x.part.withColumn("d", F.col("p_partkey") % 8))
     fields = [F.expr(_NHTSA_VALUES.get(n, "''")) for n in spec.NHTSA.positions]
     return rows.select(F.concat_ws("\t", *fields, F.when(F.col("d") == 0, "x")).alias("value"), F.lit("landed").alias("raw_landing_path"))
 
@@ -199,10 +204,9 @@ def _feed_fda(x: Tables) -> DataFrame:
 @shown("feed_usda_outcome", f"SELECT c_custkey, {_USDA_OUTCOME} AS outcome FROM customer")
 def _feed_usda(x: Tables) -> DataFrame:
     valid, malformed = validate.validate(_usda(x), spec.USDA)
-    good, odd = invariants.check(valid, spec.USDA, FIRST)
     key = lambda json: F.regexp_extract(F.get_json_object(json, "$.field_title"), "([0-9]+)$", 1).cast("long").alias("c_custkey")
-    bad = malformed.unionByName(odd).select(key("raw_record"), F.col("failure_reason").alias("outcome"))
-    return good.select(key("raw"), F.lit("valid").alias("outcome")).unionByName(bad)
+    checked = invariants.marked(valid, spec.USDA, FIRST).select(key("raw"), F.coalesce("_why", F.lit("valid")).alias("outcome"))
+    return checked.unionByName(malformed.select(key("raw_record"), F.col("failure_reason").alias("outcome")))
 
 
 @shown(
@@ -554,21 +558,35 @@ def _retention(x: Tables) -> DataFrame:
 # --- models
 
 
-def _bronze(x: Tables) -> dict[str, DataFrame]:
-    """Two versions of each feed's rows; the later one counts."""
-    older = _batch(_cpsc(x, "'older'"), spec.CPSC, FIRST)
-    nhtsa = readers.positional(_nhtsa_lines(x), spec.NHTSA)
-    return {
-        "cpsc_bronze": older.unionByName(_batch(_cpsc(x), spec.CPSC, SECOND)),
-        "fda_bronze": _batch(_fda(x), spec.FDA, FIRST),
-        "usda_bronze": _batch(_usda(x), spec.USDA, FIRST),
-        "usda_establishments_bronze": _batch(_establishments(x), spec.ESTABLISHMENTS, FIRST),
-        "nhtsa_bronze": _batch(nhtsa, spec.NHTSA, FIRST),
-    }
+_FEEDS = {
+    "cpsc": lambda x: _batch(_cpsc(x, "'older'"), spec.CPSC, FIRST).unionByName(_batch(_cpsc(x), spec.CPSC, SECOND)),
+    "fda": lambda x: _batch(_fda(x), spec.FDA, FIRST),
+    "usda": lambda x: _batch(_usda(x), spec.USDA, FIRST),
+    "usda_establishments": lambda x: _batch(_establishments(x), spec.ESTABLISHMENTS, FIRST),
+    "nhtsa": lambda x: _batch(readers.positional(_nhtsa_lines(x), spec.NHTSA), spec.NHTSA, FIRST),
+}
+
+
+def _bronze(x: Tables, wanted: list[str]) -> dict[str, DataFrame]:
+    """The bronze tables that the wanted models need, stored as ingestion does; two versions of cpsc, the later one counts."""
+    store, found, todo = Store(x.spark, _place(x, "bronze")), {}, list(wanted)
+    while todo:
+        name = todo.pop()
+        if name in models.MODELS:
+            todo += models.MODELS[name].needs
+        elif name not in found:
+            feed = name.removesuffix("_bronze")
+            store.append("bronze", feed, _FEEDS[feed](x))
+            found[name] = store.read("bronze", feed)
+    return found
+
+
+def _models(x: Tables, *wanted: str) -> dict[str, DataFrame]:
+    return models.build(_bronze(x, list(wanted)), list(wanted))
 
 
 def _built(x: Tables, name: str) -> DataFrame:
-    return models.build(_bronze(x), [name])[name]
+    return _models(x, name)[name]
 
 
 @shown("model_stg_cpsc", f"SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 10 <> 7 THEN o_orderpriority END AS title, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS published FROM orders WHERE {_CPSC_FINE}")
@@ -662,7 +680,7 @@ def _spanish(x: Tables) -> DataFrame:
 @shown("models_in_order", "SELECT 'firm' AS model UNION ALL SELECT 'stg_cpsc_recalls' UNION ALL SELECT 'stg_fda_recalls' UNION ALL SELECT 'stg_usda_recalls' UNION ALL SELECT 'stg_usda_establishments'")
 def _in_order(x: Tables) -> DataFrame:
     """What a model needs is built first; tables are written, the rest are views."""
-    bronze, store = _bronze(x), Store(x.spark, _place(x, "store"))
+    bronze, store = _bronze(x, ["firm"]), Store(x.spark, _place(x, "store"))
 
     def write(name: str, df: DataFrame) -> DataFrame:
         store.append("models", name, df)
@@ -679,7 +697,7 @@ def _in_order(x: Tables) -> DataFrame:
 @shown("serving_detail", f"""SELECT e.recall_event_id, title, (SELECT string_agg(product_name, '|' ORDER BY product_name, recall_product_id) FROM ({_PRODUCTS}) p WHERE p.recall_event_id = e.recall_event_id) AS products,
 (SELECT string_agg(DISTINCT role, '|' ORDER BY role) FROM ({_LINKS}) l WHERE l.recall_event_id = e.recall_event_id) AS roles FROM ({_EVENTS}) e WHERE source = 'FDA' AND source_recall_id = '11'""")
 def _detail(x: Tables) -> DataFrame:
-    built = models.build(_bronze(x), ["recall_event", "recall_product", "recall_event_firm", "firm"])
+    built = _models(x, "recall_event", "recall_product", "recall_event_firm", "firm")
     one = reports.detail(built["recall_event"], built["recall_product"], built["recall_event_firm"], built["firm"], "FDA", "11")
     return one.select("recall_event_id", "title", F.array_join("products.product_name", "|").alias("products"), F.array_join(F.array_distinct("firms.role"), "|").alias("roles"))
 
@@ -691,7 +709,7 @@ def _product_search(x: Tables) -> DataFrame:
 
 @shown("serving_firm_events", f"SELECT md5(k) AS firm_id, source, count(*) AS events, strftime(min(published_at), '%Y-%m-%d') AS first, strftime(max(published_at), '%Y-%m-%d') AS last FROM (SELECT DISTINCT recall_event_id, k FROM ({_LINKS})) JOIN ({_EVENTS}) USING (recall_event_id) GROUP BY k, source")
 def _firm_events(x: Tables) -> DataFrame:
-    built = models.build(_bronze(x), ["recall_event", "recall_event_firm"])
+    built = _models(x, "recall_event", "recall_event_firm")
     rows = reports.firm_events(built["recall_event_firm"], built["recall_event"])
     return rows.select("firm_id", "source", "events", *(F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("first", "last")))
 

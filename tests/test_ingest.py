@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import re
 import zipfile
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.canonical import canonical_json, content_hash, normalize_float
 from snapledger.operators import ingest as ing
-from snapledger.operators import validate
+from snapledger.operators import invariants, validate
 from snapledger.plans import models
 from snapledger.sources import readers, spec
 from snapledger.sources.state import Store
@@ -185,3 +186,28 @@ def test_state(spark, tmp_path):
         store.remove("t", "x", 4)
     store.remove("t", "x", 3)
     assert not store.exists("t", "x")
+
+
+def _parsings(df):
+    """How often the optimised plan parses a record."""
+    df.sparkSession.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    return len(re.findall("parse_?json", df._jdf.queryExecution().optimizedPlan().toString(), re.IGNORECASE))
+
+
+def test_a_record_is_parsed_once_however_many_filters_follow(spark):
+    raw = spark.range(3).selectExpr("concat('{\"field_title\":\"', id, '\"}') AS raw", "'x' AS raw_landing_path")
+    for of in spec.SOURCES.values():
+        valid, bad = validate.validate(raw, of)
+        assert _parsings(valid.where("source_recall_id <> 'x'")) == 1
+        assert _parsings(bad) == 1 and bad.count() == 3
+    good, odd = invariants.check(validate.validate(raw, spec.USDA)[0], spec.USDA, "2026-05-01 00:00:00")
+    assert _parsings(good) == 2 and _parsings(odd) == 2
+
+
+def test_a_model_makes_only_the_feeds_that_it_needs(spark, monkeypatch):
+    from snapledger.plans import catalog, feeds
+
+    made = []
+    monkeypatch.setattr(feeds, "_FEEDS", {n: lambda x, n=n, f=f: made.append(n) or f(x) for n, f in feeds._FEEDS.items()})
+    catalog.QUERIES["model_stg_fda"](spark, "/root/testdata/sf0.001").count()
+    assert made == ["fda"]
