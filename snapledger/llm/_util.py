@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -116,6 +117,12 @@ def forget(*tables: DataFrame) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nobody holds any more; it does so when the JVM collects them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a plan's size: for a file scan, that of its files. Runs no job.
 

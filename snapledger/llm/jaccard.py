@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import _repeats as r
 from . import _windows as w
 from . import sigtree
-from ._util import cells, size_in_bytes, slices, stored, tidied, tidied_group
+from ._util import cells, forget, size_in_bytes, slices, stored, sweep, tidied, tidied_group
 from .components import components
 
 BLOCK_BYTES = 48 << 20
@@ -355,17 +355,22 @@ def linked(
     buckets = max(8, size_in_bytes(df.select(id_col, text_col)) // bucket_bytes)
     if row_col is None:
         rows = stored(rows, "rows")
-    sets = stored(_sets(rows, n, per_cent, buckets), "sets")
+    dealt = stored(_sets(rows, n, per_cent, buckets), "sets")
+    sets = stored(dealt.where("bucket IS NULL").drop("bucket", "rows"), "set-sizes")
     least = F.struct(F.col("id").isNotNull().cast("int").alias("has"), "id", "u")
-    info = sets.where("bucket IS NULL").select("u", "id", "n", "s1", "s2")
+    info = sets.select("u", "id", "n", "s1", "s2")
     classes = stored(info.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("u").alias("rep"), F.min(least).alias("least")), "classes")
     reps = classes.select(F.col("rep").alias("u"), F.col("n").alias("size"))
-    edges = stored(_candidates(sets.where("bucket IS NOT NULL")).join(reps, "u").select("u", F.col("v").alias("cluster"), "size"), "stars")
+    edges = stored(_candidates(dealt.where("bucket IS NOT NULL")).join(reps, "u").select("u", F.col("v").alias("cluster"), "size"), "stars")
+    forget(dealt)  # signatures aren't read any more
+    sweep(df.sparkSession)
     heads = edges.select(F.col("cluster").alias("u")).distinct().join(reps, "u").select("u", F.col("u").alias("cluster"), "size")
     stars = edges.unionByName(heads)
     large = stored(edges.groupBy("cluster").agg(F.count("*").alias("rows")).where(F.col("rows") >= MOST_STAR).select("cluster"), "large-stars")
     likely = stars.join(large, "cluster", "left_anti").join(sets.where("sketch IS NOT NULL").select("u", "sketch"), "u")
     members = stored(_likely(likely, per_cent, buckets).unionByName(stars.join(large, "cluster", "left_semi").select("u", "cluster", "size")), "members")
+    forget(edges, large)
+    sweep(df.sparkSession)
     same = components(_links(members, _squeezed(rows), n, per_cent, block_bytes, buckets)).select(F.col("u").alias("rep"), "root")
     rooted = classes.join(same, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))

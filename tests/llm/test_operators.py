@@ -682,3 +682,11 @@ def test_surrogates_stay_distinct_and_coreferent(spark):
     person = pii.replace(spark.createDataFrame([(1, "Frau Greta Müller, госпожа Анна Петрова, κύριος Νίκος")], "doc_id long, text string"), "key").first()
     a, b, c = person.text.split(", ")
     assert person.kinds == "person" and re.fullmatch(r"Frau (%s) [A-Z][a-z]+" % "|".join(pii.GIVEN["f", "latin"]), a) and re.fullmatch(r"госпожа (%s) [А-Я][а-я]+ова" % "|".join(pii.GIVEN["f", "cyrillic"]), b) and re.fullmatch(r"κύριος \w+ίδης", c)
+
+
+def test_links_leave_no_signatures_or_stars_on_disk(spark):
+    at = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/" + spark.sparkContext.applicationId
+    before = set(glob.glob(f"{at}/*"))
+    out = jaccard.linked(table(spark, EDGES))
+    left = {p.rsplit("/", 1)[1].split("-")[0] for p in set(glob.glob(f"{at}/*")) - before}
+    assert out.count() == len(EDGES) and not left & {"sets", "stars", "large"}
