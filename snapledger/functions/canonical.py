@@ -73,7 +73,17 @@ def _lower_escapes(written: Column) -> Column:
     return F.when(written.rlike(r"\\u00[01][A-F]"), out).otherwise(written)
 
 
+def _settled(type_: T.DataType) -> bool:
+    """Whether Spark's writer gives the canonical form of such values as they are: keys in order and no times."""
+    if isinstance(type_, T.StructType):
+        names = [f.name for f in type_.fields]
+        return names == sorted(names) and all(_settled(f.dataType) for f in type_.fields)
+    return _settled(type_.elementType) if isinstance(type_, T.ArrayType) else not isinstance(type_, T.TimestampType | T.TimestampNTZType)
+
+
 def _sorted(column: Column, type_: T.DataType) -> Column:
+    if _settled(type_):
+        return column
     if isinstance(type_, T.StructType):
         fields = [_sorted(column.getField(f.name), f.dataType).alias(f.name) for f in sorted(type_.fields, key=lambda f: f.name)]
         return F.when(column.isNotNull(), F.struct(*fields))

@@ -112,7 +112,7 @@ def backfill_presence(store: Store, spec: SourceSpec, path: str, run_id: str, as
     known = store.read("presence", spec.name)
     if known is not None and not known.where(F.col("run_id") == run_id).isEmpty():
         return 0
-    valid, _ = validate.validate(store.replay(path), spec)
+    valid = validate.valid(store.replay(path), spec)
     good, _ = invariants.check(valid, spec, as_of)
     rows = versions.presence(good, run_id, spec.name, spec.identity).persist()
     try:

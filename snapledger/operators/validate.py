@@ -31,6 +31,12 @@ def _held(rows: DataFrame) -> DataFrame:
     return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
+def _layout(raw: DataFrame) -> tuple[Column, Column]:
+    drift = F.col("drift") if "drift" in raw.columns else F.lit(False)
+    landed = F.col("raw_landing_path") if "raw_landing_path" in raw.columns else F.lit(None).cast("string")
+    return landed.alias("raw_landing_path"), drift.alias("_drift")
+
+
 def parsed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """The spec's columns beside ``raw``, raw_landing_path, ``errors`` (sorted by field) and ``stage``.
 
@@ -39,9 +45,7 @@ def parsed(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     the next, so a record is parsed once, however many fields and later filters there are.
     """
     names = [f.source for f in spec.fields]
-    drift = F.col("drift") if "drift" in raw.columns else F.lit(False)
-    landed = F.col("raw_landing_path") if "raw_landing_path" in raw.columns else F.lit(None).cast("string")
-    rows = raw.select("raw", landed.alias("raw_landing_path"), drift.alias("_drift")).withColumns({"_v": F.try_parse_json("raw"), "_m": F.from_json("raw", "map<string,string>")})
+    rows = raw.select("raw", *_layout(raw)).withColumns({"_v": F.try_parse_json("raw"), "_m": F.from_json("raw", "map<string,string>")})
     rows = _held(rows)
     keys = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>"))
     kinds = [_kind(f).alias(f"_k{i}") for i, f in enumerate(spec.fields)]
@@ -62,8 +66,43 @@ def split(rows: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
     return valid, bad
 
 
+def _read(f: Field) -> tuple[Column, Column]:
+    """Value and verdict of a field of a record whose keys and kinds are known to fit."""
+    text = F.col(f"_r.{f.source}")
+    if hasattr(f.type, "whole"):
+        value, bad = f.type.whole(text)
+    elif f.type.read != "string":
+        value, bad = text, F.lit(False)
+    else:
+        value, bad = f.type(text, F.lit(f.type.kinds) if f.type.kinds.isalpha() else F.col(f"_k_{f.name}"))
+    bad = F.coalesce(bad, F.lit(True))
+    return value, (text.isNull() | bad) if f.required else (text.isNotNull() & bad)
+
+
+def valid(raw: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The rows of parsed() without errors, found without working out the errors of the others.
+
+    The schema of a record tells in one comparison whether keys and JSON types fit; what does is read as a whole.
+    Records with errors get no further than that, unless it is a value that is wrong.
+    """
+    if not all(hasattr(f.type, "kinds") and f.source.isidentifier() and f.source.isascii() for f in spec.fields) or not any(f.required for f in spec.fields):
+        return split(parsed(raw, spec), spec)[0]
+    shape = parse.members({f.source: f.type.kinds for f in spec.fields}, {f.source for f in spec.fields if f.required})
+    rows = _held(raw.select("raw", *_layout(raw), F.try_parse_json("raw").alias("_v")))
+    rows = rows.where(~F.col("_drift") & F.schema_of_variant("_v").rlike(f"^OBJECT<{shape}>$"))
+    several = [_kind(f).alias(f"_k_{f.name}") for f in spec.fields if f.type.read == "string" and not f.type.kinds.isalpha()]
+    whole = F.from_json("raw", ", ".join(f"{f.source} {f.type.read}" for f in spec.fields)).alias("_r")
+    rows = _held(rows.select("raw", "raw_landing_path", whole, *several))
+    values, bad = zip(*map(_read, spec.fields), strict=True)
+    wrong = bad[0]
+    for x in bad[1:]:
+        wrong = wrong | x
+    rows = _held(rows.select("raw", "raw_landing_path", wrong.alias("_wrong"), *(v.alias(f.name) for f, v in zip(spec.fields, values, strict=True))))
+    return rows.where("NOT _wrong").select(*spec.columns, "raw", "raw_landing_path")
+
+
 def validate(raw: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
-    return split(parsed(raw, spec), spec)
+    return valid(raw, spec), split(parsed(raw, spec), spec)[1]
 
 
 def rule_split(df: DataFrame, rules: dict[str, Column], id_col: str) -> tuple[DataFrame, DataFrame]:

@@ -165,7 +165,7 @@ def _nhtsa_lines(x: Tables) -> DataFrame:
 
 def _batch(raw: DataFrame, of: spec.SourceSpec, at: str) -> DataFrame:
     """What ingestion would append: valid rows that keep the invariants, hashed."""
-    good, _ = invariants.check(validate.validate(raw, of)[0], of, THIRD)
+    good, _ = invariants.check(validate.valid(raw, of), of, THIRD)
     return ingest.hashed(good, of, at).drop("raw")
 
 
@@ -228,7 +228,7 @@ def _feed_rejected(x: Tables) -> DataFrame:
 
 @shown("sibling_pairing", f"SELECT c_custkey FROM customer WHERE c_custkey % 2 = 1 AND {_USDA_OUTCOME} = 'valid'")
 def _pairing(x: Tables) -> DataFrame:
-    good, _ = invariants.check(validate.validate(_usda(x), spec.USDA)[0], spec.USDA, FIRST)
+    good, _ = invariants.check(validate.valid(_usda(x), spec.USDA), spec.USDA, FIRST)
     return good.where("langcode = 'Spanish'").select(F.regexp_extract("title", "([0-9]+)$", 1).cast("long").alias("c_custkey"))
 
 

@@ -211,3 +211,30 @@ def test_a_model_makes_only_the_feeds_that_it_needs(spark, monkeypatch):
     monkeypatch.setattr(feeds, "_FEEDS", {n: lambda x, n=n, f=f: made.append(n) or f(x) for n, f in feeds._FEEDS.items()})
     catalog.QUERIES["model_stg_fda"](spark, "/root/testdata/sf0.001").count()
     assert made == ["fda"]
+
+
+def test_valid_rows_are_those_without_errors(spark):
+    rng = random.Random(5)
+    odd = ["", " ", "x", None, 0, 7, -1, 1.5, 2.0, 1e30, 2**31, 2**70, True, False, [], [None], ["a"], ["a", None], ["a", 1], [[]], {}, [{}], [{"Name": None}], [{"Name": "a"}, {}], [{"Name": "a"}, None], [{"Name": "a"}, {"Name": "b", "CompanyID": None}],
+           [{"Name": "a", "CompanyID": 1}], [{"Name": 1}, {"Name": "b"}], [{"Name": "a", "x": "y"}], [{"Name": ["a"]}], [{"URL": "u", "Caption": None}], [{"Name": 'a "Name": 5'}], "2024-01-15", "2024-01-15T10:00:00Z", "15.1.2024", "4/5/2026", "True", "Yes", "English", "12", " 12 ", "20240115"]
+    nhtsa = dict.fromkeys(spec.NHTSA.positions, "")
+    broken = ["", "null", "[]", "[1]", "not json", "{", "{}", '{"RecallID":1,"RecallID":2}', "{'RecallNumber':'1'}", None]
+    for of, minimal in ((spec.CPSC, CPSC), (spec.FDA, FDA), (spec.USDA, USDA), (spec.ESTABLISHMENTS, EST), (spec.NHTSA, nhtsa)):
+        names = [f.source for f in of.fields]
+        texts = [json.dumps({"`": 1} | minimal), json.dumps(minimal | {f"{names[0]}: STRING, x": 1}), json.dumps(minimal)[:-1] + f', "{names[0]}": "again"}}', json.dumps(minimal) + " {}", json.dumps([minimal]), *broken]
+        for f in {x.type: x for x in of.fields}.values():
+            texts += [json.dumps(minimal | {f.source: v}) for v in odd] + [json.dumps({k: v for k, v in minimal.items() if k != f.source})]
+        for _ in range(60):
+            record = minimal | {k: rng.choice(odd) for k in rng.sample(names, 3)}
+            texts.append(json.dumps(dict(rng.sample(list(record.items()), len(record)))))
+        df = spark.createDataFrame([(x, "file", i % 50 == 7) for i, x in enumerate(texts)], "raw string, raw_landing_path string, drift boolean").coalesce(1)
+        rows, found = validate.parsed(df, of).collect(), validate.valid(df, of)
+        want = [tuple(r[c] for c in found.columns) for r in rows if r.errors == []]
+        assert len(rows) == len(texts) and len(want) > 10 and sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_valid_rows_read_no_record_piece_by_piece(spark):
+    """Each field of each record was looked up and its lists were opened in separate parsings."""
+    df = raw(spark, CPSC)
+    plan = validate.valid(df, spec.CPSC)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"from_json\(", plan)) == 1 and "variant_get" not in plan
