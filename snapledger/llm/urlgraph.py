@@ -16,6 +16,7 @@ from ._util import stored
 MASS = 10**12  # what the seeds of one kind share, in the units of the answers
 FINE = 10**12  # parts of such a unit in which ranks are worked out
 ROUNDS = 8  # between two written tables of ranks
+SMALL = 100_000  # links and seeds up to which a round is less work than dealing its rows out
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Public suffixes of two labels: well-known ones, not the whole public suffix list.
 SUFFIXES = (
@@ -86,7 +87,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return every.where("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float = 1e-9) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float = 1e-9, small: int = SMALL) -> DataFrame:
     """Personalised PageRank, settled: (allow, host, rank) from seeds (allow, host, n) over (allow, src, dst, weight).
 
     Both kinds of ``allow`` are ranked at once, each for itself. Each round a host passes ``keep`` per cent of
@@ -95,6 +96,10 @@ def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float
     growth of its total. Rounds go on until ``ROUNDS`` of them add at most ``tolerance`` of the mass to each
     total and reach no new host. A kind's mass is ``MASS`` times ``FINE``; shares are floored after the
     multiplication, so what a link loses is under one unit. Link weights are below 10^12.
+
+    The same rounds run without a shuffle, in one task, if there are at most ``small`` links and seeds: a round of
+    few rows is otherwise all scheduling, of as many tasks as there are shuffle partitions. Sums of whole numbers
+    don't depend on how the rows are dealt.
     """
     totals = seeds.groupBy("allow").agg(F.sum("n").alias("total"))
     seed = F.expr(f"CAST(floor(CAST(n AS DECIMAL(18,0)) * {100 - keep} * CAST({MASS * FINE // 100} AS DECIMAL(23,0)) / CAST(total AS DECIMAL(18,0))) AS DECIMAL(38,0))")
@@ -103,6 +108,9 @@ def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float
     part, whole = F.expr(f"CAST(weight * {keep} AS DECIMAL(14,0))"), F.expr("CAST(out * 100 AS DECIMAL(20,0))")
     shares = edges.join(out, ["allow", "src"]).select("allow", F.col("src").alias("host"), "dst", part.alias("part"), whole.alias("out"))
     shares = stored(shares, "shares")
+    few = shares.limit(small + 1).count() + start.limit(small + 1).count() <= small
+    held = (lambda df: df.coalesce(1)) if few else (lambda df: df)  # no exchange between tables of one partition
+    start, shares = held(start), held(shares).hint("merge") if few else shares
     share = F.expr("CAST(floor(CAST(rank * part AS DECIMAL(38,0)) / out) AS DECIMAL(38,0))")
     rank, before = start, None
     while True:
@@ -112,8 +120,8 @@ def spread(seeds: DataFrame, edges: DataFrame, keep: int = 85, tolerance: float
         before = figures
         for _ in range(ROUNDS):
             passed = rank.join(shares, ["allow", "host"]).select("allow", F.col("dst").alias("host"), share.alias("rank")).where("rank > 0")
-            rank = passed.unionByName(start).groupBy("allow", "host").agg(F.sum("rank").cast("decimal(38,0)").alias("rank"))
-        rank = stored(rank, "ranks")
+            rank = held(passed.unionByName(start)).groupBy("allow", "host").agg(F.sum("rank").cast("decimal(38,0)").alias("rank"))
+        rank = held(stored(rank, "ranks"))
 
 
 def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, tolerance: float = 1e-9, ratio: int = 1, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

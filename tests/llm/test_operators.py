@@ -540,6 +540,23 @@ def test_verdicts_reach_beyond_five_links(spark):
     assert [got[i].verdict for i in range(11)] == ["block"] * 11 and got[0].distrust > 0 and got[0].trust == 0
 
 
+def test_ranks_of_a_small_graph_settle_without_a_shuffle(spark, monkeypatch):
+    links = spark.createDataFrame([(a, f"h{i}", f"h{(i * 7 + k) % 60}", 1 + i % 3) for a in (True, False) for i in range(60) for k in range(3)], "allow boolean, src string, dst string, weight long")
+    seeds = spark.createDataFrame([(True, "h1", 3), (True, "h5", 1), (False, "h9", 2)], "allow boolean, host string, n long")
+    plans, stored = [], urlgraph.stored
+
+    def seen(df, name):
+        if name == "ranks":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(urlgraph, "stored", seen)
+    rows = lambda small: sorted(map(tuple, urlgraph.spread(seeds, links, tolerance=1e-3, small=small).collect()))
+    few = rows(1000)
+    assert plans and not any("Exchange" in p for p in plans)
+    assert few == rows(0) and "Exchange" in plans[-1]  # dealt out, the ranks are the same
+
+
 def test_every_subdomain_has_an_edge_to_its_parent(spark):
     hosts = ["www.site.com", "site.com", "a.b.c.net", "shop.co.uk", "m.shop.co.uk", "10.0.0.1", "10.0.0.2:80", "x..org", "two.org", "com", "", None]
     pages = spark.createDataFrame([(h, '<a href="http://WWW.Linked.org/">' if h == "two.org" else None) for h in hosts], "host string, html string")
