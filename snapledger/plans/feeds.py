@@ -12,7 +12,9 @@ import io
 import uuid
 import zipfile
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,11 @@ def _place(x: Tables, name: str) -> str:
 
 
 def _dealt(df: DataFrame) -> DataFrame:
-    """Rows dealt out evenly: a table may be one file, and reading is cheap beside what follows."""
-    return df.hint("rebalance")
+    """Rows dealt out evenly: a table may be one file, and reading is cheap beside what follows.
+
+    The number of tasks is given, as Spark would judge by bytes and put a small table's records into one.
+    """
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _raw(df: DataFrame, *members: str) -> DataFrame:
@@ -64,7 +69,7 @@ def _cpsc(x: Tables, title: str = "o_orderpriority") -> DataFrame:
         x.orders.withColumn("d", F.col("o_orderkey") % 10),
         """CASE WHEN d <> 2 THEN '"RecallNumber":"' || o_orderkey || '"' END""",
         """'"RecallID":' || CASE WHEN d = 0 THEN '"' || o_orderkey || '"' ELSE CAST(o_orderkey AS STRING) END""",
-        """'"RecallDate":"' || date_format(o_orderdate, CASE d WHEN 3 THEN 'dd.MM.yyyy' WHEN 6 THEN "yyyy-MM-dd'T'10:00:00" ELSE 'yyyy-MM-dd' END) || '"'""",
+        """'"RecallDate":"' || CASE d WHEN 3 THEN date_format(o_orderdate, 'dd.MM.yyyy') WHEN 6 THEN date_format(o_orderdate, "yyyy-MM-dd'T'10:00:00") ELSE date_format(o_orderdate, 'yyyy-MM-dd') END || '"'""",
         """'"LastPublishDate":"' || date_format(o_orderdate, 'yyyy-MM-dd') || '"'""",
         """CASE WHEN d = 1 THEN '"Extra":1' END""",
         f"""'"Title":' || CASE d WHEN 4 THEN '12' WHEN 7 THEN 'null' ELSE '"' || {title} || '"' END""",
@@ -568,17 +573,27 @@ _FEEDS = {
 
 
 def _bronze(x: Tables, wanted: list[str]) -> dict[str, DataFrame]:
-    """The bronze tables that the wanted models need, stored as ingestion does; two versions of cpsc, the later one counts."""
-    store, found, todo = Store(x.spark, _place(x, "bronze")), {}, list(wanted)
+    """The bronze tables that the wanted models need, stored as ingestion does; two versions of cpsc, the later one counts.
+
+    Feeds are stored at the same time: much of each is planning, and small ones leave cores idle.
+    """
+    store, found, todo = Store(x.spark, _place(x, "bronze")), set(), list(wanted)
     while todo:
         name = todo.pop()
         if name in models.MODELS:
             todo += models.MODELS[name].needs
-        elif name not in found:
-            feed = name.removesuffix("_bronze")
-            store.append("bronze", feed, _FEEDS[feed](x))
-            found[name] = store.read("bronze", feed)
-    return found
+        else:
+            found.add(name)
+
+    def stored(name: str) -> DataFrame:
+        feed = name.removesuffix("_bronze")
+        store.append("bronze", feed, _FEEDS[feed](x))
+        return store.read("bronze", feed)
+
+    names = sorted(found)
+    with ThreadPoolExecutor(len(names)) as pool:
+        tasks = [pool.submit(inheritable_thread_target(x.spark)(stored), n) for n in names]  # each with local properties of its own
+        return {n: task.result() for n, task in zip(names, tasks, strict=True)}
 
 
 def _models(x: Tables, *wanted: str) -> dict[str, DataFrame]:

@@ -85,3 +85,24 @@ def test_similar_names_lose_no_pair(spark):
     for most in (2, 5):
         want = sorted((x, y, edits(x, y)) for i, x in enumerate(keys) for y in keys[i + 1 :] if edits(x, y) <= most)
         assert sorted(map(tuple, reports.similar_names(df, "name", most).collect())) == want
+
+
+def test_a_small_table_is_dealt_to_all_cores(spark):
+    from snapledger.plans import feeds
+
+    rows = feeds._dealt(spark.range(100))
+    assert rows.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism and rows.count() == 100
+
+
+def test_days_are_read_by_the_format_that_they_fit(spark):
+    from pyspark.sql import functions as F
+
+    from snapledger.functions import parse
+
+    rows = spark.createDataFrame([("2024-01-15",), ("2024-01-15T10:00:00",), ("2024-01-15T10:00:00Z",), ("T",), ("",), ("15.01.2024",), ("2024-01-15T",)], "t string").coalesce(1)
+    value, bad = parse.day("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")(F.col("t"), F.lit("STRING"))
+    found = rows.select(F.date_format(value, "dd HH").alias("v"), bad.alias("bad"))
+    assert [r.v for r in found.collect()] == ["15 00", "15 10", "15 10", None, None, None, None]
+    assert [r.bad for r in found.collect()] == [False, False, False, True, True, True, True]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "ontains(t" in plan  # an exception for each text that a format doesn't fit is dear
