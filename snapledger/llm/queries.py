@@ -31,7 +31,7 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS))
-    return tokenfiles.checksums(tokenfiles.read_tokens(spark, path))
+    return tokenfiles.digest(spark, path)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

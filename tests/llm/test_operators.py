@@ -136,6 +136,51 @@ def test_files_have_the_encodings_and_page_indexes_asked_for(spark, encoding):
     assert "ids" not in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == 21
 
 
+def test_token_files_follow_the_size_of_the_input(spark):
+    rng = random.Random(6)
+    path = fresh_path(spark, "input")
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(400)), "en", "web", 4000) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(path)
+    size = sum(len(open(f, "rb").read()) for f in glob.glob(f"{path.removeprefix('file://')}/*.parquet"))
+    tokenfiles.write_token_files(spark.read.parquet(path), path + "-out", WORDS, bytes_per_file=size // 20)
+    assert len(glob.glob(f"{path.removeprefix('file://')}-out/*.parquet")) >= 18
+
+
+def test_texts_and_ids_cross_in_small_batches(spark, monkeypatch):
+    class Counted:
+        def encode(self, texts):
+            return np.full(len(texts), len(texts), np.int32), np.arange(1, len(texts) + 1)
+
+    def lengths(rows, id_col):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+        return rows.mapInArrow(run, "n long")
+
+    path, before = fresh_path(spark, "batches"), {k: spark.conf.get(k) for k in tokenfiles.BATCHES}
+    df = spark.createDataFrame([(i, "x" * 5000) for i in range(2000)], "doc_id long, text string").repartition(3)
+    monkeypatch.setitem(tokenfiles.BATCHES, "spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 16))
+    with monkeypatch.context() as m:
+        m.setattr(tokenfiles, "encoder", lambda _: Counted())
+        tokenfiles.write_token_files(df, path, WORDS)
+    assert max(r.ids[0] for r in tokenfiles.read_tokens(spark, path).collect()) <= 20
+    tokenfiles.write_token_files(df.selectExpr("doc_id", "repeat('a ', 5000) AS text"), path + "-long", WORDS)
+    with monkeypatch.context() as m:
+        m.setattr(tokenfiles, "checksums", lengths)
+        assert max(r.n for r in tokenfiles.digest(spark, path + "-long").collect()) <= 20
+    got = {(r.doc_id, r.start, r.n_tokens) for r in tokenfiles.digest(spark, path + "-long").collect()}
+    assert got == {(i, i * 5001, 5001) for i in range(2000)}
+    with pytest.raises(Exception):
+        tokenfiles.write_token_files(df, path, WORDS)  # the folder exists
+    assert {k: spark.conf.get(k) for k in before} == before
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "77")
+    with tokenfiles.small_batches(spark):
+        assert {k: spark.conf.get(k) for k in before} == tokenfiles.BATCHES | {"spark.sql.parquet.columnarReaderBatchSize": "77"}
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "77"
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+
+
 def test_long_white_space_does_not_stop_the_library():
     encoder, blank = bpe.encoding(RANKS, P.PATTERN), re.compile(r"\s{3,}")
     random.seed(2)
