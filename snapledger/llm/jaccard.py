@@ -4,7 +4,8 @@
 2. Signatures decide which sets can be similar at all. Shingles are dealt by their hash into parts, more
    than the number of shingles in which similar sets of that size can differ, so similar sets have a
    part in common that isn't empty (pigeonhole); the few sets with too many empty parts add signatures of single
-   shingles by the prefix rule. Sets that share a signature are put into one cluster.
+   shingles by the prefix rule. Sets that share a signature are put into one cluster. Shingles that stand
+   in very many sets, as a line that many texts have does, aren't signed, or come last; else all those texts met.
 3. A cluster falls apart where sizes and sketches, counts of elements by ranges of hashes, rule links out.
 4. In each cluster the sets that share a signature are compared: pairs that bitmaps and sizes can't rule out exactly,
    in large groups found by traversing a signature tree against itself. Clusters of too many bytes are split by
@@ -34,6 +35,9 @@ BLOCK_BYTES = 48 << 20
 SLICE_BYTES = 4 << 20
 #: Stars of so many sets aren't compared by sketches in one task but go to blocks at once.
 MOST_STAR = 8_000
+#: Shingles are common if they stand in so many sets; of more than MOST_COMMON (256 KB) the most frequent are.
+COMMON_SETS, MOST_COMMON = 200, 1 << 16
+_NONE = np.zeros(0, np.uint32)
 #: Bytes that a set takes in a task for each of its elements: text, hashes, bits and signatures.
 SET_BYTES = 32
 
@@ -77,7 +81,15 @@ def _scheme(size: int, per_cent: int) -> tuple[int, int]:
     return grade, signed
 
 
-def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
+def _is_common(mixed: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which of mixed hashes have their lower half in ``common``, which is in order."""
+    if not len(common):
+        return np.zeros(len(mixed), bool)
+    low = mixed.astype(np.uint32)
+    return common[np.minimum(np.searchsorted(common, low), len(common) - 1)] == low
+
+
+def signatures(x: np.ndarray, per_cent: int, common: np.ndarray = _NONE) -> np.ndarray:
     """The signatures of a set; similar but different sets have one in common.
 
     A pair is compared under the scheme of its larger set. That may be any size up to size * 100 / per_cent,
@@ -86,25 +98,32 @@ def signatures(x: np.ndarray, per_cent: int) -> np.ndarray:
     unless a set has so many thin parts, of one element or none, that they may be all of them; thin parts
     aren't signed, as one frequent shingle would bring very many unlike sets together, and a set with that
     many signs single shingles by the prefix rule as well. If only one of a pair has, the other rules it out.
+
+    Elements that are ``common`` (see _common) stay out of the parts and come last in the order of the prefix rule. Two
+    sets without them differ in no more elements than with them, so as many parts are equal, and any order that
+    holds for all sets serves the prefix rule; which elements are common changes what is compared, never what is linked.
     """
     size = len(x)
     if not size or not differ(_partner(size, per_cent), per_cent):
         return x[:0]
     out = []
     (low, _), (high, signed) = _scheme(size, per_cent), _scheme(_partner(size, per_cent), per_cent)
-    spread = np.sort(w.mix(x))
-    thin_ones = False
-    for grade in range(low, high + 1):
+    mixed = w.mix(x)
+    last = _is_common(mixed, common)
+    spread = np.sort(mixed[~last])
+    thin_ones = not len(spread)
+    for grade in range(low, high + 1 if len(spread) else low):
         parts = _parts(grade)
         part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending, as the elements are
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        count = np.diff(np.concatenate((first, [size])))
+        count = np.diff(np.concatenate((first, [len(spread)])))
         total = np.add.reduceat(w.mix(spread + np.uint64(grade + 1)), first)
         keep = (part[first] < min(parts, signed)) & (count > 1)
         out.append(w.mix(total[keep] ^ w.mix(part[first][keep] * np.uint64(64) + np.uint64(grade))))
         thin_ones |= min(parts, signed) - int(keep.sum()) >= _slack(size, per_cent)
     if thin_ones:
-        out.append(w.mix(spread[: size - -(-per_cent * size // 100) + 1] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        ordered = np.concatenate((spread, np.sort(mixed[last])))
+        out.append(w.mix(ordered[: size - -(-per_cent * size // 100) + 1] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
     return np.unique(np.concatenate(out))
 
 
@@ -121,7 +140,36 @@ def sketch(x: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((w.mix(x) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
 
 
-def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
+_COUNTED = pa.schema([("hash", pa.int64()), ("sets", pa.int64())])
+
+
+def _common(rows: DataFrame, n: int, buckets: int) -> np.ndarray:
+    """Lower halves of mixed hashes, in order, of shingles that stand in very many sets, counted over all (u, text) rows.
+
+    Equal sets in a slice count once. Whichever are common, no link is lost.
+    """
+    fewest = COMMON_SETS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0, SLICE_BYTES):
+            sets = {_fingerprint(x): x for x in shingle_sets(batch.column(0), n)}
+            low = w.mix(np.concatenate(list(sets.values()))).astype(np.uint32) if sets else _NONE
+            out = [(b, low[some].tobytes()) for b, some in r._by_bucket((low.astype(np.int64) * buckets) >> 32)]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["bucket", "hashes"])
+
+    def one(table: pa.Table) -> pa.Table:
+        values, counts = np.unique(np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint32), return_counts=True)
+        many = counts >= fewest
+        return pa.Table.from_arrays([pa.array(values[many].astype(np.int64)), pa.array(counts[many].astype(np.int64))], schema=_COUNTED)
+
+    hashes = rows.select("text").mapInArrow(tidied(run), "bucket int, hashes binary")
+    counted = stored(hashes.groupBy("bucket").applyInArrow(tidied_group(one), "hash long, sets long"), "common")
+    found = counted.orderBy(F.desc("sets"), "hash").limit(MOST_COMMON).select("hash").toArrow()
+    forget(counted)
+    return np.sort(found.column("hash").to_numpy().astype(np.uint32))
+
+
+def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int, common: np.ndarray) -> DataFrame:
     """From (u, id, text) rows of two kinds: (u, id, n, s1, s2) of a document and its set; (bucket, rows), packed signatures.
 
     Of equal sets in a slice only the first signs. A bucket holds 40 bits of each signature beyond those that name the
@@ -139,7 +187,7 @@ def _sets(rows: DataFrame, n: int, per_cent: int, buckets: int) -> DataFrame:
                 sketches.append(sketch(x).tobytes() if len(x) else None)
                 if len(x):
                     if kind not in least:
-                        signed[kind] = signatures(x, per_cent)
+                        signed[kind] = signatures(x, per_cent, common)
                     least[kind] = min(least.get(kind, ids[i]), ids[i])
             of = [*(pa.array([x[j] for x in info], pa.int64()) for j in range(3)), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *of, pa.nulls(len(info), pa.int32()), pa.nulls(len(info), pa.binary())], schema=_SETS)
@@ -355,7 +403,9 @@ def linked(
     buckets = max(8, size_in_bytes(df.select(id_col, text_col)) // bucket_bytes)
     if row_col is None:
         rows = stored(rows, "rows")
-    dealt = stored(_sets(rows, n, per_cent, buckets), "sets")
+    common = _common(rows, n, buckets)
+    sweep(df.sparkSession)
+    dealt = stored(_sets(rows, n, per_cent, buckets, common), "sets")
     sets = stored(dealt.where("bucket IS NULL").drop("bucket", "rows"), "set-sizes")
     least = F.struct(F.col("id").isNotNull().cast("int").alias("has"), "id", "u")
     info = sets.select("u", "id", "n", "s1", "s2")

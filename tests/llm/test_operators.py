@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from snapledger.llm import bpe, decontam, jaccard, licenses, pii, quality, radix, sigtree, substrings, tokenfiles, urlgraph
+from snapledger.llm import _windows, bpe, decontam, jaccard, licenses, pii, quality, radix, sigtree, substrings, tokenfiles, urlgraph
 from snapledger.llm._util import fresh_path
 from snapledger.llm.components import components
 
@@ -752,3 +752,45 @@ def test_links_leave_no_signatures_or_stars_on_disk(spark):
     out = jaccard.linked(table(spark, EDGES))
     left = {p.rsplit("/", 1)[1].split("-")[0] for p in set(glob.glob(f"{at}/*")) - before}
     assert out.count() == len(EDGES) and not left & {"sets", "stars", "large"}
+
+
+def test_signatures_without_common_shingles_lose_no_similar_pair():
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(1, 1 << 62, n, dtype=np.int64).astype(np.uint64)
+    tried = 0
+    for _ in range(2000):
+        size = int(rng.choice([6, 7, 8, 10, 14, 20, 33, 50, 100, 300]))
+        x, d = draw(size), int(rng.integers(0, jaccard.differ(int(size / 0.85) + 1, 85) + 1))
+        cut = int(rng.integers(0, d + 1))
+        x, y = np.unique(x), np.unique(np.concatenate([x[cut:], draw(d - cut)]))
+        either = np.union1d(x, y)
+        common = np.unique(_windows.mix(rng.choice(either, int(len(either) * rng.choice([0.05, 0.3, 0.9, 1])), replace=False)).astype(np.uint32))
+        if sigtree.similar(x, y, 85) and not np.array_equal(x, y):
+            tried += 1
+            assert len(np.intersect1d(jaccard.signatures(x, 85, common), jaccard.signatures(y, 85, common)))
+    assert tried > 600
+
+
+@pytest.mark.parametrize("most_star, fewest", [(20_000, 2), (3, 10)])
+def test_jaccard_with_common_shingles_against_brute_force(spark, most_star, fewest, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON_SETS", fewest)
+    test_jaccard_against_brute_force(spark, 3000, most_star, monkeypatch)
+
+
+def test_a_line_that_many_texts_have_brings_no_texts_together(spark, monkeypatch):
+    rng, counts, put = random.Random(6), {}, jaccard.stored
+
+    def told(df, name):
+        out = put(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", told)
+    monkeypatch.setattr(jaccard, "MOST_STAR", 20)
+    monkeypatch.setattr(jaccard, "COMMON_SETS", 10, raising=False)
+    line = [f"l{i}" for i in range(40)]
+    docs = [(i, " ".join([*line, *(f"w{rng.randrange(10**9)}" for _ in range(80))])) for i in range(150)]
+    docs.append((150, docs[7][1] + " more"))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.linked(df).collect()) == brute_links(docs, 4, 85)
+    assert counts["large-stars"] == 0 and counts["members"] == 2
